@@ -71,3 +71,22 @@ class Warehouse:
               "stg_transaction_statuses", "stg_transaction_types", "dim_clients",
               "dim_merchants", "dim_location", "dim_date", "fact_transactions",
               "fct_daily_merchant_sales")
+
+
+class Operations(Warehouse):
+    """The models plus the shared intermediate frames of the operators."""
+
+    @cached_property
+    def current_transactions(self) -> DataFrame:
+        from paylake.operators.recon import current_transactions
+        return current_transactions(self.raw.transactions)
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        from pyspark.sql import functions as F
+        return self.current_transactions.filter(F.col("is_flagged") == 1)
+
+    @cached_property
+    def settlement_batches(self) -> DataFrame:
+        from paylake.operators.recon import settlement_batches
+        return settlement_batches(self.current_transactions, self.raw.transaction_statuses)

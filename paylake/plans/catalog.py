@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.operators.warehouse import Warehouse
+from paylake.operators.warehouse import Operations, Warehouse
 from paylake.plans import oracle_models  # noqa: F401  (registers model CTEs)
 from paylake.plans.oracle_base import with_ctes
 from paylake.session import configure
@@ -24,7 +24,7 @@ ORACLES: dict[str, str] = {}
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     configure(spark)
-    return Warehouse(Tables(spark, sf_dir))
+    return Operations(Tables(spark, sf_dir))
 
 
 def query(key: str, oracle: str | None = None):

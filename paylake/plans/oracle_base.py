@@ -316,3 +316,12 @@ def with_ctes(names: list[str], body: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",".join(CTES[n][1] for n in order) + "\n" + body
+
+
+def latest_sql(name: str, src: str, key: str, order: str, cols: list[str], where: str = "TRUE") -> str:
+    """CTE text: first row per ``key`` under ``order``, other columns as
+    descending NULLS LAST tie-breaks."""
+    ties = ", ".join(f"{c} DESC NULLS LAST" for c in cols if c != key)
+    sel = ", ".join(cols)
+    return (f"\n  {name} AS (SELECT {sel} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} "
+            f"ORDER BY {order}, {ties}) AS rn FROM {src} WHERE {where}) WHERE rn = 1)")

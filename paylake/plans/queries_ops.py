@@ -1 +1,337 @@
-"""Operator queries beyond the models (registered into the catalogue)."""
+"""Operator queries beyond the models, each with its DuckDB oracle."""
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from paylake import schemas as S
+from paylake.operators import fraud, ingest, quality, recon
+from paylake.plans.catalog import query, warehouse
+from paylake.plans.oracle_base import latest_sql, register, with_ctes
+from paylake.plans.oracle_models import initcap
+
+TXN_COLS = [f.name for f in S.RAW_SCHEMAS["transactions"].fields]
+CUTOFF = "2026-06-30 00:00:00"
+TS_MS = 1767225600000  # publish time stamped on the test envelopes (2026-01-01 UTC)
+
+register("current_transactions", ["raw_transactions"],
+         latest_sql("current_transactions", "raw_transactions", "txn_id", "created_at DESC NULLS FIRST",
+                    TXN_COLS, "txn_id IS NOT NULL"))
+register("current_status", ["current_transactions", "raw_transaction_statuses"], """
+  current_status AS (
+    SELECT t.*, s.code AS status_code FROM current_transactions t
+    LEFT JOIN raw_transaction_statuses s ON t.status_id = s.status_id)""")
+
+
+def _w(spark, sf):
+    return warehouse(spark, sf)
+
+
+# ===================================================================== ingest
+
+@query("scan_full", with_ctes(["raw_transactions"], "SELECT * FROM raw_transactions"))
+def scan_full(spark, sf):
+    """Full extract of a table: a partitioned parallel scan, ordered by key
+    inside each partition (no global sort, no OFFSET paging)."""
+    return _w(spark, sf).raw.transactions.sortWithinPartitions("txn_id")
+
+
+_COUNT_TABLES = ["countries", "transaction_types", "transaction_statuses", "card_networks",
+                 "merchant_categories", "merchants", "pos_terminals", "clients", "payment_cards",
+                 "transactions", "fraud_alerts", "refunds"]
+
+
+@query("table_row_counts", with_ctes(
+    ["raw_" + t for t in _COUNT_TABLES],
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}"
+                       for t in _COUNT_TABLES)))
+def table_row_counts(spark, sf):
+    raw = _w(spark, sf).raw
+    return reduce(lambda a, b: a.unionByName(b), [
+        getattr(raw, t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+        for t in _COUNT_TABLES])
+
+
+@query("incremental_extract", with_ctes(["raw_transactions"], f"""
+SELECT * FROM raw_transactions WHERE created_at > TIMESTAMP '{CUTOFF}'"""))
+def incremental_extract(spark, sf):
+    return ingest.incremental(_w(spark, sf).raw.transactions, "created_at", CUTOFF)
+
+
+_WM_TABLES = [(t, wm) for t, wm, _, _ in S.TABLE_CATALOGUE
+              if wm is not None and t not in ("settlement_batches",)]
+
+
+@query("next_watermark", with_ctes(["raw_" + t for t, _ in _WM_TABLES], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COALESCE(MAX({wm}), TIMESTAMP '{CUTOFF}') AS watermark, "
+    f"MAX({wm}) IS NOT NULL AS advanced FROM raw_{t} WHERE {wm} > TIMESTAMP '{CUTOFF}'"
+    for t, wm in _WM_TABLES)))
+def next_watermark(spark, sf):
+    raw = _w(spark, sf).raw
+    return reduce(lambda a, b: a.unionByName(b), [
+        ingest.next_watermark(getattr(raw, t), t, wm, CUTOFF) for t, wm in _WM_TABLES])
+
+
+@query("hybrid_load", with_ctes(["raw_transactions"], f"""
+SELECT txn_id, created_at, CASE WHEN created_at > TIMESTAMP '{CUTOFF}' THEN 'c' ELSE 'r' END AS op
+FROM raw_transactions"""))
+def hybrid_load(spark, sf):
+    raw = _w(spark, sf).raw.transactions.select("txn_id", "created_at")
+    return ingest.hybrid_load(raw, "created_at", CUTOFF)
+
+
+@query("preview_head", with_ctes(["stg_transactions"],
+                                 "SELECT * FROM stg_transactions ORDER BY transaction_id LIMIT 5"))
+def preview_head(spark, sf):
+    return _w(spark, sf).stg_transactions.orderBy("transaction_id").limit(5)
+
+
+@query("paged_extract", with_ctes(["stg_transactions"],
+                                  "SELECT * FROM stg_transactions ORDER BY transaction_id LIMIT 500 OFFSET 1000"))
+def paged_extract(spark, sf):
+    return ingest.paged(_w(spark, sf).stg_transactions, "transaction_id", page=2, size=500)
+
+
+@query("hash_sample", with_ctes(["current_status"], f"""
+SELECT txn_id, amount FROM current_status
+WHERE status_code = 'APPROVED'
+  AND CAST(('0x' || substr(md5(CAST(txn_id AS VARCHAR)), 1, 8)) AS BIGINT) < {int(0.05 * 0xFFFFFFFF)}"""))
+def hash_sample(spark, sf):
+    """About 5 % of approved transactions, the same ones on every run."""
+    w = _w(spark, sf)
+    ok = recon.with_status(w.current_transactions, w.raw.transaction_statuses) \
+        .filter(F.col("status_code") == "APPROVED").select("txn_id", "amount")
+    return ingest.hash_sample(ok, "txn_id", 0.05)
+
+
+def _payload_sql(src: str) -> str:
+    """DuckDB text of the producer's JSON payload of a transaction row."""
+    parts = []
+    for f in S.RAW_SCHEMAS["transactions"].fields:
+        n, t = f.name, f.dataType.simpleString()
+        if t.startswith("decimal"):
+            v = f"CAST({src}.{n} AS DOUBLE)"
+        elif t == "timestamp_ntz":
+            v = f"strftime({src}.{n}, '%Y-%m-%dT%H:%M:%S')"
+        elif t == "date":
+            v = f"strftime({src}.{n}, '%Y-%m-%d')"
+        else:
+            v = f"{src}.{n}"
+        parts.append(f"'{n}': {v}")
+    return "{" + ", ".join(parts) + "}"
+
+
+register("cdc_messages", ["raw_transactions"], f"""
+  cdc_messages AS (
+    SELECT 'pg.transactions' AS topic, CAST(txn_id AS VARCHAR) AS message_key,
+      CAST(to_json({{'_meta': {{'table': 'transactions', 'op': 'r', 'ts_ms': CAST({TS_MS} AS BIGINT)}},
+                     'payload': {_payload_sql('r')}}}) AS VARCHAR) AS value,
+      txn_id AS _id
+    FROM raw_transactions r)""")
+
+
+def _messages(w):
+    raw = w.raw.transactions
+    return ingest.envelope(raw, "transactions", "r", TS_MS, "txn_id")
+
+
+@query("cdc_envelope", with_ctes(["cdc_messages"], "SELECT topic, message_key, value FROM cdc_messages"))
+def cdc_envelope(spark, sf):
+    return _messages(_w(spark, sf))
+
+
+def _corrupted(w):
+    m = ingest.envelope(w.raw.transactions, "transactions", "r", TS_MS, "txn_id")
+    m = m.withColumn("_id", F.coalesce(F.col("message_key").cast("bigint"), F.lit(0)))
+    return ingest.corrupt(m, F.col("_id")).drop("_id")
+
+
+# the oracle damages the same messages with its own text functions
+register("dlq_input", ["cdc_messages"], """
+  dlq_input AS (
+    SELECT topic, message_key,
+      CASE WHEN COALESCE(_id, 0) % 50 = 7 THEN substr(value, 1, 40)
+           WHEN COALESCE(_id, 0) % 50 = 11 THEN '[1,2]'
+           WHEN COALESCE(_id, 0) % 50 = 13 THEN regexp_replace(value, '"txn_id":[0-9]+', '"txn_id":"oops"')
+           WHEN COALESCE(_id, 0) % 50 = 17 THEN regexp_extract(value, '"payload":(\\{.*\\})\\}$', 1)
+           WHEN COALESCE(_id, 0) % 50 = 19 THEN regexp_replace(value, '"payload":\\{.*\\}\\}$', '"payload":null}')
+           ELSE value END AS value
+    FROM cdc_messages)""")
+
+
+def _duck_type(t: str) -> str:
+    return {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+            "date": "DATE"}.get(t, t.upper())
+
+
+def _decode_sql() -> str:
+    fields = S.RAW_SCHEMAS["transactions"].fields
+    mism = " ".join(
+        f"WHEN json_exists(body, '$.{f.name}') AND json_type(body, '$.{f.name}') <> 'NULL' "
+        f"AND TRY_CAST(json_extract_string(body, '$.{f.name}') AS {_duck_type(f.dataType.simpleString())}) IS NULL "
+        f"THEN 'type_mismatch:{f.name}'" for f in fields)
+    typed = ", ".join(
+        f"TRY_CAST(json_extract_string(body, '$.{f.name}') AS {_duck_type(f.dataType.simpleString())}) AS {f.name}"
+        for f in fields)
+    return f"""
+  dlq_p AS (
+    SELECT *, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM dlq_input),
+  dlq_b AS (
+    SELECT *, COALESCE(json_type(j) = 'OBJECT' AND json_exists(j, '$.payload'), false) AS has_payload
+    FROM dlq_p),
+  dlq_c AS (
+    SELECT *, CASE WHEN has_payload THEN json_extract(j, '$.payload') ELSE j END AS body FROM dlq_b),
+  dlq_decoded AS (
+    SELECT topic, message_key, value,
+      CASE WHEN j IS NULL THEN 'malformed_json'
+           WHEN json_type(j) <> 'OBJECT' THEN 'not_an_object'
+           WHEN has_payload AND json_type(j, '$.payload') = 'NULL' THEN 'null_payload'
+           WHEN json_type(body) <> 'OBJECT' THEN 'not_an_object'
+           {mism}
+           END AS error_msg,
+      {typed}
+    FROM dlq_c)"""
+
+
+register("dlq_decoded", ["dlq_input"], _decode_sql())
+
+
+def _decoded(w):
+    return ingest.decode(_corrupted(w), S.RAW_SCHEMAS["transactions"])
+
+
+@query("envelope_decode", with_ctes(["dlq_decoded"], "SELECT regexp_replace(topic, '^pg\\.', '') AS table_name, "
+                                    + ", ".join(TXN_COLS) + " FROM dlq_decoded WHERE error_msg IS NULL"))
+def envelope_decode(spark, sf):
+    good, _ = ingest.split_dead_letters(_decoded(_w(spark, sf)), S.RAW_SCHEMAS["transactions"])
+    return good
+
+
+@query("dead_letter", with_ctes(["dlq_decoded"], """
+SELECT message_key, value, error_msg, topic AS original_topic FROM dlq_decoded WHERE error_msg IS NOT NULL"""))
+def dead_letter(spark, sf):
+    _, bad = ingest.split_dead_letters(_decoded(_w(spark, sf)), S.RAW_SCHEMAS["transactions"])
+    return bad
+
+
+@query("normalise_types", with_ctes(["raw_transactions"], """
+SELECT txn_id, CAST(amount AS DOUBLE) AS amount, CAST(fee AS DOUBLE) AS fee,
+  CAST(net_amount AS DOUBLE) AS net_amount, strftime(initiated_at, '%Y-%m-%dT%H:%M:%S') AS initiated_at,
+  strftime(settled_at, '%Y-%m-%d') AS settled_at, json_object('ip', ip_address, 'device', device_id) AS client_info
+FROM raw_transactions"""))
+def normalise_types(spark, sf):
+    t = _w(spark, sf).raw.transactions.select(
+        "txn_id", "amount", "fee", "net_amount", "initiated_at", "settled_at",
+        F.struct(F.col("ip_address").alias("ip"), F.col("device_id").alias("device")).alias("client_info"))
+    return ingest.normalise(t)
+
+
+@query("schema_align", with_ctes(["raw_transactions"], """
+SELECT txn_id, reference, client_id, card_id, pos_id, merchant_id, type_id, status_id, amount, currency, fee,
+  net_amount, auth_code, channel,
+  CASE WHEN channel = 'POS' THEN NULL ELSE ip_address END AS ip_address,
+  CASE WHEN channel = 'POS' THEN NULL ELSE device_id END AS device_id,
+  is_recurring, is_international, is_flagged, failure_reason, initiated_at, processed_at, settled_at, created_at
+FROM raw_transactions"""))
+def schema_align(spark, sf):
+    """Two landed shapes of the same table -- POS rows written without the
+    online columns, other rows with an extra column -- aligned to the table
+    schema and unioned."""
+    raw = _w(spark, sf).raw.transactions
+    pos = raw.filter(F.col("channel") == "POS").drop("ip_address", "device_id")
+    other = raw.filter(F.col("channel") != "POS").withColumn("debug_note", F.lit("x"))
+    return ingest.union_aligned([pos, other], S.RAW_SCHEMAS["transactions"])
+
+
+@query("insert_ignore", with_ctes(["current_status"], """
+, sb_all AS (
+  SELECT merchant_id, CAST(initiated_at AS DATE) AS batch_date, COUNT(*) AS txn_count,
+    CAST(SUM(ABS(amount)) AS DECIMAL(16,2)) AS gross_amount, CAST(SUM(fee) AS DECIMAL(14,2)) AS total_fees
+  FROM current_status WHERE status_code IN ('APPROVED','SETTLED') AND merchant_id IS NOT NULL
+    AND initiated_at IS NOT NULL GROUP BY 1, 2),
+sb_old AS (
+  SELECT merchant_id, batch_date, txn_count, 'old' AS origin FROM sb_all WHERE batch_date < DATE '2026-01-01'),
+sb_new AS (
+  SELECT merchant_id, batch_date, txn_count, 'new' AS origin FROM sb_all
+  WHERE (merchant_id, batch_date) NOT IN (SELECT (merchant_id, batch_date) FROM sb_old))
+SELECT * FROM sb_old UNION ALL SELECT * FROM sb_new"""))
+def insert_ignore(spark, sf):
+    """Append the recomputed settlement batches to the stored ones; rows
+    whose (merchant, day) already exists are skipped, the stored row kept."""
+    sb = _w(spark, sf).settlement_batches.select("merchant_id", "batch_date", "txn_count")
+    old = sb.filter(F.col("batch_date") < F.lit("2026-01-01").cast("date")).withColumn("origin", F.lit("old"))
+    new = sb.withColumn("origin", F.lit("new"))
+    return ingest.insert_ignore(old, new, ["merchant_id", "batch_date"], [F.col("txn_count").desc()])
+
+
+def _state_log(w):
+    """Changelog of the load state: every table is marked completed after
+    its full load; tables that received rows after the cutoff are then
+    reset for a reload."""
+    raw = w.raw
+    parts = []
+    for i, (t, wm, _, _) in enumerate(S.TABLE_CATALOGUE):
+        if t == "settlement_batches":
+            continue
+        df = getattr(raw, t)
+        parts.append(df.agg(F.count("*").alias("rows")).select(
+            F.lit(t).alias("key"), F.lit("completed").alias("status"), F.lit(i).alias("offset"), "rows"))
+        if wm is not None:
+            late = df.filter(F.col(wm) > F.lit(CUTOFF).cast("timestamp_ntz"))
+            parts.append(late.agg(F.count("*").alias("rows")).filter(F.col("rows") > 0).select(
+                F.lit(t).alias("key"), F.lit("reset").alias("status"), F.lit(100 + i).alias("offset"), "rows"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _state_log_sql() -> tuple[list[str], str]:
+    deps, parts = [], []
+    for i, (t, wm, _, _) in enumerate(S.TABLE_CATALOGUE):
+        if t == "settlement_batches":
+            continue
+        deps.append("raw_" + t)
+        parts.append(f"SELECT '{t}' AS key, 'completed' AS status, {i} AS off")
+        if wm is not None:
+            parts.append(f"SELECT '{t}', 'reset', {100 + i} FROM raw_{t} WHERE {wm} > TIMESTAMP '{CUTOFF}' "
+                         f"HAVING COUNT(*) > 0")
+    return deps, "\n  state_log AS (" + " UNION ALL ".join(parts) + ")"
+
+
+_deps, _sql = _state_log_sql()
+register("state_log", _deps, _sql)
+
+
+@query("latest_state", with_ctes(["state_log"], """
+SELECT key AS table_name, max(off) AS "offset" FROM state_log GROUP BY key
+HAVING arg_max(status, off) = 'completed'"""))
+def latest_state(spark, sf):
+    return ingest.latest_state(_state_log(_w(spark, sf)))
+
+
+@query("pending_tables", with_ctes(["state_log"], """
+SELECT key AS table_name FROM (SELECT DISTINCT key FROM state_log) k
+WHERE key NOT IN (SELECT key FROM state_log GROUP BY key HAVING arg_max(status, off) = 'completed')"""))
+def pending_tables(spark, sf):
+    """Catalogue tables whose full load is not (or no longer) complete."""
+    log = _state_log(_w(spark, sf))
+    done = ingest.latest_state(log)
+    return (log.select(F.col("key").alias("table_name")).distinct()
+               .join(done, "table_name", "left_anti"))
+
+
+@query("json_fields", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+  COALESCE(json_extract_string(props, '$.missing'), 'none') AS missing
+FROM events""")
+def json_fields(spark, sf):
+    e = _w(spark, sf).t.events
+    return e.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
+                    F.coalesce(F.get_json_object("props", "$.missing"), F.lit("none")).alias("missing"))
+
+
+@query("net_amount", with_ctes(["raw_transactions"], """
+SELECT txn_id, amount, fee, CAST(amount - fee AS DECIMAL(14,2)) AS net_amount FROM raw_transactions"""))
+def net_amount(spark, sf):
+    t = _w(spark, sf).raw.transactions
+    return t.select("txn_id", "amount", "fee", (F.col("amount") - F.col("fee")).cast("decimal(14,2)")
+                    .alias("net_amount"))

@@ -16,6 +16,7 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Broadcast only what the planner can prove small; dimension joins in
     # this package add explicit hints after a size check (see plans.sizing).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
