@@ -60,7 +60,7 @@ def refund_net(refunds: DataFrame, current: DataFrame) -> DataFrame:
         "refund_id", "original_txn_id", F.col("amount").alias("refund_amount"), "original_amount",
         F.when(F.col("amount") < F.col("original_amount"), "partial").otherwise("full").alias("refund_type"),
         (F.col("original_amount") - F.col("amount")).alias("net_after_refund"),
-        F.timestampdiff("HOUR", F.col("initiated_at"), F.col("resolved_at")).alias("hours_to_resolve"))
+        F.timestamp_diff("HOUR", F.col("initiated_at"), F.col("resolved_at")).alias("hours_to_resolve"))
 
 
 def approved_sales(current: DataFrame, statuses: DataFrame) -> DataFrame:
