@@ -94,35 +94,58 @@ def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
                                .otherwise(v))
 
 
+META = T.StructType([T.StructField("table", T.StringType()), T.StructField("op", T.StringType()),
+                     T.StructField("ts_ms", T.LongType())])
+
+
+def _parse_schema(schema: T.StructType) -> T.StructType:
+    """Envelope fields, the payload, the same fields at top level (a message
+    without an envelope is its own payload) and a corrupt-record column."""
+    return T.StructType([T.StructField("_meta", META), T.StructField("payload", schema), *schema.fields,
+                         T.StructField("_corrupt", T.StringType())])
+
+
 def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse message values against ``schema``; classify rejects.
 
     Adds ``error_msg`` (NULL for good rows) and one typed column per schema
     field. Reasons: ``malformed_json``, ``not_an_object``, ``null_payload``,
-    ``type_mismatch:<field>``. A value without ``payload`` is the payload."""
+    ``type_mismatch:<field>``. A value without ``payload`` is the payload.
+
+    The typed parse is one ``from_json`` (PERMISSIVE, corrupt-record
+    column): malformed text, non-objects and values of the wrong type all
+    land in the corrupt column. Only rejected rows and rows without a parsed
+    payload -- a small minority -- are parsed again as VARIANT to name the
+    reason, so the common path costs one JSON parse per message."""
     keep = list(messages.columns)
-    # Parse once. The one-element explode is a materialisation boundary, so
-    # the optimiser does not re-inline the parse into every field lookup.
-    parsed = messages.select(*keep, F.explode(F.array(F.try_parse_json(F.col("value")))).alias("_p"))
+    j = F.from_json(F.col("value"), _parse_schema(schema),
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = messages.select(*keep, j.alias("_j"))
+    corrupt = F.col("_j._corrupt").isNotNull()
+    no_payload = F.col("_j.payload").isNull()
+    # one-element explode: the VARIANT parse is materialised once per row
+    # (and only computed for the rows that need it)
+    parsed = parsed.select("*", F.explode(F.array(
+        F.when(corrupt | no_payload, F.try_parse_json(F.col("value"))))).alias("_p"))
     p = F.col("_p")
-    payload = F.try_variant_get(p, "$.payload", "variant")
-    parsed = parsed.select("*", payload.isNotNull().alias("_hp"),
-                           F.explode(F.array(F.when(payload.isNotNull(), payload).otherwise(p))).alias("_body"))
-    body = F.col("_body")
-    is_obj = lambda c: F.schema_of_variant(c).startswith("OBJECT")
-    typed, mism = [], []
+    payload_v = F.try_variant_get(p, "$.payload", "variant")
+    body_v = F.coalesce(payload_v, p)
+    mism = []
     for f in schema.fields:
-        raw_f = F.try_variant_get(body, f"$.{f.name}", "variant")
-        val = F.try_variant_get(body, f"$.{f.name}", f.dataType.simpleString())
-        typed.append(val.alias(f.name))
+        raw_f = F.try_variant_get(body_v, f"$.{f.name}", "variant")
+        val = F.try_variant_get(body_v, f"$.{f.name}", f.dataType.simpleString())
         mism.append(F.when(raw_f.isNotNull() & ~F.is_variant_null(raw_f) & val.isNull(),
                            F.lit(f"type_mismatch:{f.name}")))
-    err = (F.when(p.isNull(), "malformed_json")
-           .when(~is_obj(p), "not_an_object")
-           .when(F.col("_hp") & F.is_variant_null(F.try_variant_get(p, "$.payload", "variant")), "null_payload")
-           .when(~is_obj(body), "not_an_object")
-           .otherwise(F.coalesce(*mism)))
-    return parsed.select(*keep, err.alias("error_msg"), *typed)
+    reason = (F.when(p.isNull(), "malformed_json")
+              .when(~F.col("value").rlike(r"^\s*\{"), "not_an_object")
+              .when(payload_v.isNotNull() & ~F.schema_of_variant(payload_v).startswith("OBJECT"), "not_an_object")
+              .otherwise(F.coalesce(*mism, F.lit("corrupt_record"))))
+    err = (F.when(corrupt, reason)
+           .when(no_payload & payload_v.isNotNull(), "null_payload"))
+    body = F.when(~no_payload, F.col("_j.payload")).otherwise(
+        F.struct(*[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields]))
+    out = parsed.select(*keep, err.alias("error_msg"), body.alias("_body"))
+    return out.select(*keep, "error_msg", *[F.col(f"_body.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def split_dead_letters(decoded: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
