@@ -75,15 +75,16 @@ def dim_location(stg_countries: DataFrame) -> DataFrame:
     return keyed.unionByName(unknown)
 
 
-def dim_date(fact: DataFrame | None = None, start: str = S.CALENDAR_START,
+def dim_date(dates: DataFrame | None = None, start: str = S.CALENDAR_START,
              end: str = S.CALENDAR_END) -> DataFrame:
     """Calendar from ``start`` to ``end`` inclusive, widened to cover every
-    fact date when a fact is given (the fixed span is D13's default).
+    ``date_key`` of ``dates`` when given (the fixed span is D13's default).
 
-    The bounds come from one global min/max aggregate (partial per task, a
-    single row shuffled); the days are exploded from that one row."""
-    if fact is not None:
-        bounds = fact.agg(F.least(F.lit(start).cast("date"), F.min("date_key")).alias("lo"),
+    The bounds come from one global min/max aggregate over a single column
+    (partial per task, one row shuffled); the days are exploded from that
+    one row, so the calendar never re-runs the fact's dedup."""
+    if dates is not None:
+        bounds = dates.agg(F.least(F.lit(start).cast("date"), F.min("date_key")).alias("lo"),
                           F.greatest(F.lit(end).cast("date"), F.max("date_key")).alias("hi"))
         bounds = bounds.select(F.coalesce("lo", F.lit(start).cast("date")).alias("lo"),
                                F.coalesce("hi", F.lit(end).cast("date")).alias("hi"))

@@ -57,7 +57,10 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return marts.dim_date(self.fact_transactions)
+        # every date a transaction can carry: the raw initiation dates
+        from pyspark.sql import functions as F
+        return marts.dim_date(self.raw.transactions.select(
+            F.col("initiated_at").cast("date").alias("date_key")))
 
     @cached_property
     def fact_transactions(self) -> DataFrame:

@@ -119,11 +119,11 @@ register("fact_transactions", ["stg_clean_transactions"], """
       amount, currency, initiated_at_timestamp, CAST(initiated_at_timestamp AS DATE) AS date_key
     FROM stg_clean_transactions)""")
 
-register("dim_date", ["fact_transactions"], f"""
+register("dim_date", ["raw_transactions"], f"""
   dd_bounds AS (
-    SELECT COALESCE(least(DATE '{S.CALENDAR_START}', min(date_key)), DATE '{S.CALENDAR_START}') AS lo,
-           COALESCE(greatest(DATE '{S.CALENDAR_END}', max(date_key)), DATE '{S.CALENDAR_END}') AS hi
-    FROM fact_transactions),
+    SELECT COALESCE(least(DATE '{S.CALENDAR_START}', min(CAST(initiated_at AS DATE))), DATE '{S.CALENDAR_START}') AS lo,
+           COALESCE(greatest(DATE '{S.CALENDAR_END}', max(CAST(initiated_at AS DATE))), DATE '{S.CALENDAR_END}') AS hi
+    FROM raw_transactions),
   dd_series AS (
     SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
     FROM dd_bounds),
