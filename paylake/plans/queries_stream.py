@@ -19,20 +19,23 @@ from paylake.sources import raw_zone
 from paylake.streaming import landing
 
 LANDED = ["transactions", "clients", "merchants", "countries", "refunds", "fraud_alerts"]
-LANDED_AT = {"transactions": "created_at", "clients": "created_at", "merchants": "created_at",
-             "countries": "created_at", "refunds": "created_at", "fraud_alerts": "created_at"}
+RUN_1, RUN_2 = "2026-01-01 01:00:00", "2026-01-02 01:00:00"   # landing times of two loader runs
 
 
 def _scratch(spark, name: str) -> str:
     return shared_dir(spark, "paylake", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
+def _landed_at(ts: str):
+    return F.lit(ts).cast("timestamp_ntz")
+
+
 def _write_zone(spark, sf, root):
+    """Land six raw tables in one run; the partition date is the landing
+    (ingestion) date, as in the landing writer."""
     raw = warehouse(spark, sf).raw
     for t in LANDED:
-        df = getattr(raw, t)
-        ts = F.coalesce(F.col(LANDED_AT[t]), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-        raw_zone.write_raw(df, root, t, ts)
+        raw_zone.write_raw(getattr(raw, t), root, t, _landed_at(RUN_1))
 
 
 @query("raw_zone_write")
@@ -79,11 +82,11 @@ def unprocessed_files(spark, sf):
     root = _scratch(spark, "raw")
     raw = warehouse(spark, sf).raw
     early = raw.transactions.filter(F.col("created_at") < F.lit("2025-07-01").cast("timestamp_ntz"))
-    raw_zone.write_raw(early, root, "transactions", F.col("created_at"))
+    raw_zone.write_raw(early, root, "transactions", _landed_at(RUN_1))
     ledger, target = root + "_ledger", root + "_wh"
     raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00")
     late = raw.transactions.filter(F.col("created_at") >= F.lit("2025-07-01").cast("timestamp_ntz"))
-    raw_zone.write_raw(late, root, "transactions", F.col("created_at"))
+    raw_zone.write_raw(late, root, "transactions", _landed_at(RUN_2))
     return raw_zone.unprocessed(raw_zone.list_files(spark, root), raw_zone.read_ledger(spark, ledger))
 
 
