@@ -45,11 +45,21 @@ def hybrid_load(df: DataFrame, watermark_col: str, cutoff: str) -> DataFrame:
 
 
 def paged(df: DataFrame, key: str, page: int, size: int) -> DataFrame:
-    """One page of ``size`` rows in key order (L2). For full extracts use
-    the partitioned scan instead of paging."""
+    """One page of ``size`` rows in key order, LIMIT/OFFSET style (L2).
+    Spark keeps the top ``(page + 1) * size`` rows per task, so deep pages
+    grow; iterate with :func:`page_after` instead, and use the partitioned
+    scan for full extracts."""
     return df.orderBy(F.col(key).asc_nulls_last()).offset(page * size).limit(size)
 
 
+def page_after(df: DataFrame, key: str, after, size: int) -> DataFrame:
+    """Keyset page: the ``size`` rows following key ``after``. The predicate
+    is pushed into the scan and each task keeps at most ``size`` rows, at
+    any depth."""
+    rest = df if after is None else df.filter(F.col(key) > F.lit(after))
+    return rest.orderBy(F.col(key).asc()).limit(size)
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, salt: str = "") -> DataFrame:
     """Repeatable sample: keep a row when the md5 of its key falls in the
     first ``fraction`` of the hash space (L3). No sort, no shuffle; the same
