@@ -70,6 +70,30 @@ class Warehouse:
     def fct_daily_merchant_sales(self) -> DataFrame:
         return marts.fct_daily_merchant_sales(self.fact_transactions)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a temp view (the warehouse source/ref
+        catalogue, S12/S13); SQL over the views is planned by Catalyst like
+        the DataFrame calls."""
+        names = []
+        for name in self.MODELS:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
+    def build(self, root: str, models=None) -> dict[str, str]:
+        """Materialise models as Parquet tables under ``root`` in dependency
+        order (K7). Each downstream model then reads the written table, so
+        lineage is cut at every table and a lost executor recomputes from
+        the last table, not from the raw scan. Overwrite makes a re-run
+        idempotent. ``root`` belongs in the shared checkpoint folder."""
+        out = {}
+        for name in models or self.MODELS:
+            path = f"{root.rstrip('/')}/{name}"
+            getattr(self, name).write.mode("overwrite").parquet(path)
+            self.__dict__[name] = self.t.spark.read.parquet(path)
+            out[name] = path
+        return out
+
     MODELS = ("stg_transactions", "stg_clean_transactions", "stg_clients", "stg_countries",
               "stg_transaction_statuses", "stg_transaction_types", "dim_clients",
               "dim_merchants", "dim_location", "dim_date", "fact_transactions",

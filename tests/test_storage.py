@@ -55,3 +55,17 @@ def test_keyset_paging_matches_offset_paging(spark):
     a = [r.k for r in ingest.paged(df, "k", 3, 50).collect()]
     b = [r.k for r in ingest.page_after(df, "k", 149, 50).collect()]
     assert a == b == list(range(150, 200))
+
+
+def test_warehouse_build_materialises_in_order(spark):
+    w = warehouse(spark, SF_SMALL)
+    want = w.fct_daily_merchant_sales.count()
+    w2 = warehouse(spark, SF_SMALL)
+    paths = w2.build(shared_dir(spark, "t", uuid.uuid4().hex))
+    assert set(paths) == set(w2.MODELS)
+    plan = w2.fct_daily_merchant_sales._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan                      # reads the written table
+    assert w2.fct_daily_merchant_sales.count() == want
+    names = w2.register_views("v_")
+    assert spark.sql("SELECT COUNT(*) FROM v_fact_transactions").first()[0] == w.fact_transactions.count()
+    assert len(names) == 12
