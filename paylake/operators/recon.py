@@ -103,13 +103,13 @@ def star_sales(daily: DataFrame, dim_merchants: DataFrame, dim_date: DataFrame)
 
     Left joins keep every fact row; null keys were mapped to -1 and meet the
     unknown member. The merchant dimension is deduplicated first so repeated
-    merchant rows cannot multiply facts. The calendar has one row per day of
-    its span (bounded), so it is broadcast; the merchant dimension is left to
-    AQE, which broadcasts it only when its measured size is small."""
+    merchant rows cannot multiply facts. Both dimensions grow with the data
+    (merchants, days of the span), so neither carries a broadcast hint: AQE
+    broadcasts a side only after measuring it under the threshold."""
     m = dedup_dim(dim_merchants, "merchant_id", "merchant_onboarded_at").select(
         "merchant_id", "merchant_name", "merchant_category_group")
     d = dim_date.select(F.col("date_key").alias("transaction_date"), "day_type", "month_name", "quarter")
-    return (daily.join(m, "merchant_id", "left").join(F.broadcast(d), "transaction_date", "left")
+    return (daily.join(m, "merchant_id", "left").join(d, "transaction_date", "left")
                  .select("transaction_date", "merchant_id", "merchant_name", "merchant_category_group",
                          "day_type", "month_name", "quarter", "currency", "total_transaction_count",
                          "daily_total_amount"))
@@ -117,7 +117,7 @@ def star_sales(daily: DataFrame, dim_merchants: DataFrame, dim_date: DataFrame)
 
 def sales_by_day_type(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     d = dim_date.select("date_key", "day_type", "quarter")
-    return (fact.join(F.broadcast(d), "date_key", "left")
+    return (fact.join(d, "date_key", "left")
                 .groupBy("day_type", "quarter")
                 .agg(F.count("transaction_id").alias("n_txns"), F.sum("amount").alias("total_amount")))
 

@@ -94,6 +94,14 @@ class Warehouse:
             out[name] = path
         return out
 
+    def refresh(self, root: str) -> dict[str, str]:
+        """Transform, then test (Q4): materialise the models and fail the
+        run when a declared data test fails."""
+        from paylake.operators import quality
+        paths = self.build(root)
+        quality.gate(quality.dq_report(self), quality.DECLARED)
+        return paths
+
     MODELS = ("stg_transactions", "stg_clean_transactions", "stg_clients", "stg_countries",
               "stg_transaction_statuses", "stg_transaction_types", "dim_clients",
               "dim_merchants", "dim_location", "dim_date", "fact_transactions",

@@ -242,13 +242,14 @@ class RawTables:
     def transaction_statuses(self) -> DataFrame:
         lk = self._lookup(S.TRANSACTION_STATUSES, "status_id int, code string, label string")
         used = self.transactions.select("status_id").distinct()
-        return lk.join(F.broadcast(used), "status_id", "left_semi")
+        # the fixed lookup (seven rows) is the broadcast side
+        return used.join(F.broadcast(lk), "status_id").select(*lk.columns)
 
     @cached_property
     def transaction_types(self) -> DataFrame:
         lk = self._lookup(S.TRANSACTION_TYPES, "type_id int, code string, label string, is_debit int")
         used = self.transactions.select("type_id").distinct()
-        return lk.join(F.broadcast(used), "type_id", "left_semi")
+        return used.join(F.broadcast(lk), "type_id").select(*lk.columns)
 
     @cached_property
     def card_networks(self) -> DataFrame:

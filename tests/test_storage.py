@@ -69,3 +69,9 @@ def test_warehouse_build_materialises_in_order(spark):
     names = w2.register_views("v_")
     assert spark.sql("SELECT COUNT(*) FROM v_fact_transactions").first()[0] == w.fact_transactions.count()
     assert len(names) == 12
+
+
+def test_refresh_builds_then_gates(spark):
+    w = warehouse(spark, SF_SMALL)
+    paths = w.refresh(shared_dir(spark, "t", uuid.uuid4().hex))
+    assert "fct_daily_merchant_sales" in paths
