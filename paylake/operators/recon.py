@@ -131,11 +131,17 @@ def merchant_from_terminal(current: DataFrame, terminals: DataFrame) -> DataFram
                            F.coalesce("terminal_merchant_id", "merchant_id").alias("resolved_merchant_id")))
 
 
-def cards_per_client(cards: DataFrame) -> DataFrame:
-    """Card ids per client (A4). A client's cards are bounded by issuance,
-    so the per-client list is small."""
-    return cards.groupBy("client_id").agg(F.sort_array(F.collect_list("card_id")).alias("card_ids"),
-                                          F.count("*").alias("n_cards"))
+def cards_per_client(cards: DataFrame, max_list: int = 1000) -> DataFrame:
+    """Card ids per client (A4), as sorted lists of at most about
+    ``max_list`` ids: a client with more cards gets several chunks (ids
+    spread by hash), so no group ever collects an unbounded list. Ordinary
+    clients have one chunk, ``chunk = 0``."""
+    n = cards.groupBy("client_id").agg(F.count("*").alias("n_cards"))
+    parts = F.ceil(F.col("n_cards") / F.lit(max_list)).cast("int")
+    tagged = cards.select("client_id", "card_id").join(n, "client_id").withColumn(
+        "chunk", F.pmod(F.xxhash64("card_id"), parts).cast("int"))
+    return (tagged.groupBy("client_id", "chunk", "n_cards")
+                  .agg(F.sort_array(F.collect_list("card_id")).alias("card_ids")))
 
 
 def event_rates(live: DataFrame, every: str = "1 hour") -> DataFrame:

@@ -626,7 +626,8 @@ def status_lookup(spark, sf):
 
 
 @query("cards_per_client", with_ctes(["raw_payment_cards"], """
-SELECT client_id, list_sort(list(card_id)) AS card_ids, COUNT(*) AS n_cards FROM raw_payment_cards GROUP BY 1"""))
+SELECT client_id, 0 AS chunk, COUNT(*) AS n_cards, list_sort(list(card_id)) AS card_ids
+FROM raw_payment_cards GROUP BY 1"""))
 def cards_per_client(spark, sf):
     return recon.cards_per_client(_w(spark, sf).raw.payment_cards)
 

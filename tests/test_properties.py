@@ -146,3 +146,14 @@ def test_shared_dir_respects_session_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     p = shared_dir(spark, "x", uuid.uuid4().hex)
     assert p.startswith(base.rstrip("/"))
+
+
+def test_card_lists_are_chunked_for_a_hot_client(spark):
+    from paylake.operators.recon import cards_per_client
+    cards = spark.range(5000).select(F.lit(7).cast("long").alias("client_id"), F.col("id").alias("card_id")) \
+        .unionByName(spark.range(3).select(F.lit(8).cast("long").alias("client_id"), F.col("id").alias("card_id")))
+    out = cards_per_client(cards, max_list=1000).collect()
+    hot = [r for r in out if r.client_id == 7]
+    assert len(hot) == 5 and max(len(r.card_ids) for r in hot) < 1400
+    assert sorted(c for r in hot for c in r.card_ids) == list(range(5000))
+    assert [(r.chunk, r.card_ids) for r in out if r.client_id == 8] == [(0, [0, 1, 2])]
