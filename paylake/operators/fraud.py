@@ -38,10 +38,12 @@ def trailing_window(df: DataFrame, key: str, ts: str, width_s: int,
     bucket_s = max(bucket_s or 3600, width_s)
     width_us, bucket_us = width_s * US, bucket_s * US
     us = event_micros(F.col(ts))
-    base = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / bucket_us))
-    ctx = (base.filter(F.col("_us") >= (F.col("_b") + 1) * bucket_us - width_us)
-               .withColumn("_b", F.col("_b") + 1).withColumn("_ctx", F.lit(True)))
-    rows = base.withColumn("_ctx", F.lit(False)).unionByName(ctx)
+    base = df.withColumn("_us", us).withColumn("_b0", F.floor(F.col("_us") / bucket_us))
+    near_next = F.col("_us") >= (F.col("_b0") + 1) * bucket_us - width_us
+    # one pass: a row near the next bucket is emitted twice, once as context
+    rows = (base.withColumn("_b", F.explode(F.when(near_next, F.array("_b0", F.col("_b0") + 1))
+                                             .otherwise(F.array("_b0"))))
+                .withColumn("_ctx", F.col("_b") != F.col("_b0")).drop("_b0"))
     w = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-width_us, 0)
     out = rows.select("*", *[e.alias(n) for n, e in aggs(w).items()])
     return out.filter(~F.col("_ctx")).drop("_us", "_b", "_ctx")
