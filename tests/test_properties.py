@@ -157,3 +157,15 @@ def test_card_lists_are_chunked_for_a_hot_client(spark):
     assert len(hot) == 5 and max(len(r.card_ids) for r in hot) < 1400
     assert sorted(c for r in hot for c in r.card_ids) == list(range(5000))
     assert [(r.chunk, r.card_ids) for r in out if r.client_id == 8] == [(0, [0, 1, 2])]
+
+
+def test_poll_with_persisted_watermark(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2025, 1, 1, 10)), (2, dt.datetime(2025, 1, 1, 11)),
+                                (3, dt.datetime(2025, 1, 1, 11))], "id int, ts timestamp_ntz")
+    empty = spark.createDataFrame([], "table_name string, watermark timestamp_ntz")
+    rows, st = ingest.poll(df, "t", "ts", empty, "2025-01-01 00:00:00")
+    assert rows.count() == 3 and st.first().watermark == dt.datetime(2025, 1, 1, 11)
+    # the next poll starts at the persisted watermark and keeps same-second rows
+    rows2, st2 = ingest.poll(df, "t", "ts", st, "2025-01-01 00:00:00")
+    assert sorted(r.id for r in rows2.collect()) == [2, 3]
+    assert st2.first().watermark == dt.datetime(2025, 1, 1, 11)
