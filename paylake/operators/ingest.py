@@ -112,6 +112,15 @@ def envelope(df: DataFrame, table: str, op: str, ts_ms: int, key_col: str) -> Da
                      F.to_json(msg, JSON_OPTS).alias("value"))
 
 
+def to_topic(messages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Messages as a consumer sees them after the broker: spread over the
+    topic's partitions. Data messages carry no key in the producer, so the
+    spread is round-robin; consumers then decode in parallel, one task per
+    topic partition, whatever the producer's layout was."""
+    n = partitions or messages.sparkSession.sparkContext.defaultParallelism
+    return messages.repartition(n)
+
+
 def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
     """Deterministically damage some messages for dead-letter tests:
     truncated JSON, a bare array, a type mismatch, a null payload, and a

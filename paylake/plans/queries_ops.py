@@ -142,7 +142,8 @@ def cdc_envelope(spark, sf):
 
 
 def _corrupted(w):
-    m = ingest.envelope(w.raw.transactions, "transactions", "r", TS_MS, "txn_id")
+    """Messages as consumed from the topic, some damaged in transit."""
+    m = ingest.to_topic(ingest.envelope(w.raw.transactions, "transactions", "r", TS_MS, "txn_id"))
     m = m.withColumn("_id", F.coalesce(F.col("message_key").cast("bigint"), F.lit(0)))
     return ingest.corrupt(m, F.col("_id")).drop("_id")
 

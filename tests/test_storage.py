@@ -24,7 +24,7 @@ def test_landing_restart_adds_nothing(spark):
                               schema).awaitTermination()
     landed = spark.read.parquet(base + "/raw").count()
     dlq = spark.read.parquet(base + "/dlq").count()
-    total = spark.read.json(base + "/in").count()
+    total = spark.read.parquet(base + "/in").count()
     assert landed + dlq == total and dlq > 0
 
 
