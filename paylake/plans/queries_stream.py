@@ -71,8 +71,9 @@ def ledger_load(spark, sf):
     root = _scratch(spark, "raw")
     _write_zone(spark, sf, root)
     ledger, target = root + "_ledger", root + "_wh"
-    raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00")
-    raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 02:00:00")
+    schema = warehouse(spark, sf).raw.transactions.schema
+    raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00", schema=schema)
+    raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 02:00:00", schema=schema)
     return spark.read.parquet(target)
 
 
@@ -84,7 +85,8 @@ def unprocessed_files(spark, sf):
     early = raw.transactions.filter(F.col("created_at") < F.lit("2025-07-01").cast("timestamp_ntz"))
     raw_zone.write_raw(early, root, "transactions", _landed_at(RUN_1))
     ledger, target = root + "_ledger", root + "_wh"
-    raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00")
+    raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00",
+                         schema=raw.transactions.schema)
     late = raw.transactions.filter(F.col("created_at") >= F.lit("2025-07-01").cast("timestamp_ntz"))
     raw_zone.write_raw(late, root, "transactions", _landed_at(RUN_2))
     return raw_zone.unprocessed(raw_zone.list_files(spark, root), raw_zone.read_ledger(spark, ledger))

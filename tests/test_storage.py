@@ -75,3 +75,18 @@ def test_refresh_builds_then_gates(spark):
     w = warehouse(spark, SF_SMALL)
     paths = w.refresh(shared_dir(spark, "t", uuid.uuid4().hex))
     assert "fct_daily_merchant_sales" in paths
+
+
+def test_unreadable_file_is_reported_and_others_load(spark):
+    base = shared_dir(spark, "t", uuid.uuid4().hex)
+    root = base + "/raw"
+    raw_zone.write_raw(spark.range(20).select(F.col("id").alias("txn_id")), root, "transactions",
+                       F.lit("2026-01-01 01:00:00").cast("timestamp_ntz"))
+    bad_dir = f"{root}/table_name=transactions/year=2026/month=01/day=01".replace("file:", "")
+    with open(bad_dir + "/broken.parquet", "wb") as fh:
+        fh.write(b"x" * 300)
+    out = raw_zone.ledger_load(spark, root, "transactions", base + "/ledger", base + "/wh",
+                               run_ts="2026-01-01 02:00:00")
+    assert spark.read.parquet(base + "/wh").count() == 20
+    assert [r.file_path.endswith("broken.parquet") for r in out["unloaded"].collect()] == [True]
+    assert not spark.read.parquet(base + "/ledger").filter(F.col("file_path").contains("broken")).count()
