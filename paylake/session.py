@@ -20,8 +20,15 @@ BASE_CONF = {
     # Broadcast only what the planner can prove small; dimension joins in
     # this package add explicit hints after a size check (see plans.sizing).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # AQE coalesces small shuffle partitions towards this size and splits
+    # skewed ones above the skew threshold
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
+TARGET_SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
+
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "paylake") -> SparkSession:
@@ -48,6 +55,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int, min_partitions: int = 200) -> int:
+    """Size the initial shuffle for an input of ``input_bytes``: about
+    200 MB of input per shuffle partition (so a partition's sort buffer fits
+    an executor core's memory share), never fewer than ``min_partitions``;
+    AQE then coalesces what turns out small. For 100 TB that is ~500,000
+    partitions before coalescing. Returns the number set."""
+    n = max(min_partitions, -(-input_bytes // TARGET_SHUFFLE_PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A directory under the cluster's shared checkpoint folder.
 

@@ -13,3 +13,13 @@ def test_kafka_options_exclude_internal_topics():
     pat = re.compile(o["subscribePattern"])
     assert pat.fullmatch("pg.transactions") and not pat.fullmatch("pg.__producer_state")
     assert o["startingOffsets"] == "earliest"
+
+
+def test_tune_for_input(spark):
+    from paylake.session import tune_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, 100 * 1024 ** 4) > 400_000
+        assert tune_for_input(spark, 10 * 1024 ** 2) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
