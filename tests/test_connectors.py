@@ -23,3 +23,4 @@ def test_tune_for_input(spark):
         assert tune_for_input(spark, 10 * 1024 ** 2) == 200
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
