@@ -79,7 +79,7 @@ def night_owl(live: DataFrame, min_count: int = 2) -> DataFrame:
     night = live.filter(F.hour("initiated_at").between(1, 4) & F.col("channel").isin(*ONLINE)
                         & F.col("amount").between(100, 3000))
     return (night.groupBy("client_id", F.col("initiated_at").cast("date").alias("night"))
-                 .agg(F.count("*").alias("n_txns"), F.sum("amount").alias("total_amount"))
+                 .agg(F.count("*").alias("n_txns"), F.sum("amount").cast("decimal(38,2)").alias("total_amount"))
                  .filter(F.col("n_txns") >= min_count))
 
 

@@ -122,5 +122,5 @@ def fct_daily_merchant_sales(fact: DataFrame) -> DataFrame:
     The mean is the decimal average rounded half-up to cents (N7)."""
     return (fact.groupBy(F.col("date_key").alias("transaction_date"), "merchant_id", "currency")
                 .agg(F.count("transaction_id").alias("total_transaction_count"),
-                     F.sum("amount").alias("daily_total_amount"),
-                     F.round(F.avg("amount"), 2).alias("avg_transaction_value")))
+                     F.sum("amount").cast("decimal(38,2)").alias("daily_total_amount"),
+                     F.round(F.avg("amount"), 2).cast("decimal(18,2)").alias("avg_transaction_value")))

@@ -74,8 +74,8 @@ def approved_sales(current: DataFrame, statuses: DataFrame) -> DataFrame:
                      F.abs("amount").alias("amount"), "txn_id")
     return (rows.groupBy("transaction_date", "merchant_id", "currency")
                 .agg(F.count("txn_id").alias("total_transaction_count"),
-                     F.sum("amount").alias("daily_total_amount"),
-                     F.round(F.avg("amount"), 2).alias("avg_transaction_value")))
+                     F.sum("amount").cast("decimal(38,2)").alias("daily_total_amount"),
+                     F.round(F.avg("amount"), 2).cast("decimal(18,2)").alias("avg_transaction_value")))
 
 
 def mix(current: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -119,7 +119,8 @@ def sales_by_day_type(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     d = dim_date.select("date_key", "day_type", "quarter")
     return (fact.join(d, "date_key", "left")
                 .groupBy("day_type", "quarter")
-                .agg(F.count("transaction_id").alias("n_txns"), F.sum("amount").alias("total_amount")))
+                .agg(F.count("transaction_id").alias("n_txns"),
+                     F.sum("amount").cast("decimal(38,2)").alias("total_amount")))
 
 
 def merchant_from_terminal(current: DataFrame, terminals: DataFrame) -> DataFrame:

@@ -219,7 +219,7 @@ def dead_letter(spark, sf):
 @query("normalise_types", with_ctes(["raw_transactions"], """
 SELECT txn_id, CAST(amount AS DOUBLE) AS amount, CAST(fee AS DOUBLE) AS fee,
   CAST(net_amount AS DOUBLE) AS net_amount, strftime(initiated_at, '%Y-%m-%dT%H:%M:%S') AS initiated_at,
-  strftime(settled_at, '%Y-%m-%d') AS settled_at, json_object('ip', ip_address, 'device', device_id) AS client_info
+  strftime(settled_at, '%Y-%m-%d') AS settled_at, CAST(json_object('ip', ip_address, 'device', device_id) AS VARCHAR) AS client_info
 FROM raw_transactions"""))
 def normalise_types(spark, sf):
     t = _w(spark, sf).raw.transactions.select(
@@ -459,7 +459,7 @@ def dq_accepted_values(spark, sf):
 
 
 @query("fill_defaults", with_ctes(["raw_transactions"], """
-SELECT txn_id, COALESCE(currency, 'USD') AS currency, COALESCE(fee, 0) AS fee,
+SELECT txn_id, COALESCE(currency, 'USD') AS currency, COALESCE(fee, CAST(0 AS DECIMAL(10,2))) AS fee,
   COALESCE(is_recurring, 0) AS is_recurring, COALESCE(is_international, 0) AS is_international,
   COALESCE(is_flagged, 0) AS is_flagged
 FROM raw_transactions"""))
@@ -717,8 +717,8 @@ def fraud_night_owl(spark, sf):
 
 @query("fraud_international_spree", with_ctes(["live_transactions"], "," + _range_count(
     135 * 60, "currency <> 'USD'",
-    extra=", len(list_distinct(list(currency) OVER (PARTITION BY client_id ORDER BY epoch_us(initiated_at) "
-          "RANGE BETWEEN 8100000000 PRECEDING AND CURRENT ROW))) AS n_currencies") + """
+    extra=", CAST(len(list_distinct(list(currency) OVER (PARTITION BY client_id ORDER BY epoch_us(initiated_at) "
+          "RANGE BETWEEN 8100000000 PRECEDING AND CURRENT ROW))) AS INTEGER) AS n_currencies") + """
 SELECT txn_id, client_id, initiated_at, n_in_window, n_currencies FROM lw
 WHERE n_in_window >= 3 AND n_currencies >= 2"""))
 def fraud_international_spree(spark, sf):
