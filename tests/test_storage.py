@@ -90,3 +90,20 @@ def test_unreadable_file_is_reported_and_others_load(spark):
     assert spark.read.parquet(base + "/wh").count() == 20
     assert [r.file_path.endswith("broken.parquet") for r in out["unloaded"].collect()] == [True]
     assert not spark.read.parquet(base + "/ledger").filter(F.col("file_path").contains("broken")).count()
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from paylake.operators import recon
+    w = warehouse(spark, SF_SMALL)
+    want = recon.refund_net(w.raw.refunds, w.current_transactions).count()
+    t = w.bucket_by_txn(shared_dir(spark, "t", uuid.uuid4().hex), 8, prefix="b" + uuid.uuid4().hex[:6])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = t["refunds"].join(t["current_transactions"].withColumnRenamed("txn_id", "original_txn_id"),
+                              "original_txn_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        got = recon.refund_net(t["refunds"], w.current_transactions).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    assert got == want
