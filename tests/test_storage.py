@@ -107,3 +107,20 @@ def test_bucketed_tables_join_without_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
     assert got == want
+
+
+def test_stream_takeover_matches_batch(spark):
+    from paylake.operators import fraud
+    live = warehouse(spark, SF_SMALL).raw.live_transactions
+    base = shared_dir(spark, "t", uuid.uuid4().hex)
+    # land the live transactions as four time slices, one after the other
+    # (arrival in event-time order) -> four micro-batches
+    day = F.dayofmonth("initiated_at")
+    for lo, hi in [(1, 8), (8, 16), (16, 24), (24, 32)]:
+        live.filter((day >= lo) & (day < hi)).coalesce(1).write.mode("append").parquet(base + "/in")
+    q = landing.start_takeover(spark, base + "/in", base + "/out", base + "/state", base + "/ckpt", live.schema)
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] >= 3
+    got = sorted(r.txn_id for r in spark.read.parquet(base + "/out").collect())
+    want = sorted(r.txn_id for r in fraud.account_takeover(live).collect())
+    assert got == want and len(want) > 0
