@@ -124,3 +124,15 @@ def test_stream_takeover_matches_batch(spark):
     got = sorted(r.txn_id for r in spark.read.parquet(base + "/out").collect())
     want = sorted(r.txn_id for r in fraud.account_takeover(live).collect())
     assert got == want and len(want) > 0
+
+
+def test_live_card_testing_and_spree(spark):
+    live = warehouse(spark, SF_SMALL).raw.live_transactions
+    base = shared_dir(spark, "t", uuid.uuid4().hex)
+    live.write.parquet(base + "/in")
+    for name, start in [("ct", landing.start_card_testing), ("sp", landing.start_spree)]:
+        start(spark, base + "/in", f"{base}/{name}", f"{base}/ckpt_{name}", live.schema).awaitTermination()
+    ct = spark.read.parquet(base + "/ct")
+    sp = spark.read.parquet(base + "/sp")
+    assert ct.count() > 0 and ct.agg(F.min("n_txns")).first()[0] >= 10
+    assert sp.count() > 0 and sp.agg(F.min("n_currencies")).first()[0] >= 2
