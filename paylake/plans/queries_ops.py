@@ -298,8 +298,7 @@ def _state_log_sql() -> tuple[list[str], str]:
     return deps, "\n  state_log AS (" + " UNION ALL ".join(parts) + ")"
 
 
-_deps, _sql = _state_log_sql()
-register("state_log", _deps, _sql)
+register("state_log", *_state_log_sql())
 
 
 @query("latest_state", with_ctes(["state_log"], """
@@ -510,15 +509,6 @@ def _fk_sql() -> tuple[list[str], str]:
     return sorted(deps), " UNION ALL ".join(parts)
 
 
-@query("fk_orphans", None)
-def fk_orphans(spark, sf):
-    """Orphan child rows per declared foreign key."""
-    w = _w(spark, sf)
-    return quality.fk_orphans(w.raw, tables={"settlement_batches": w.settlement_batches})
-
-
-# ===================================================================== recon
-
 register("settlement_batches", ["current_status"], f"""
   sb_g AS (
     SELECT merchant_id, CAST(initiated_at AS DATE) AS batch_date, COUNT(*) AS txn_count,
@@ -534,12 +524,15 @@ register("settlement_batches", ["current_status"], f"""
            THEN CAST(batch_date AS TIMESTAMP) + INTERVAL 22 HOUR END AS settled_at
     FROM sb_g)""")
 
-_fk_deps, _fk_body = _fk_sql()
-ORACLE_FK = with_ctes(_fk_deps, _fk_body)
-from paylake.plans.catalog import ORACLES  # noqa: E402
 
-ORACLES["fk_orphans"] = ORACLE_FK
+@query("fk_orphans", with_ctes(*_fk_sql()))
+def fk_orphans(spark, sf):
+    """Orphan child rows per declared foreign key."""
+    w = _w(spark, sf)
+    return quality.fk_orphans(w.raw, tables={"settlement_batches": w.settlement_batches})
+
 
+# ===================================================================== recon
 
 @query("settlement_batches", with_ctes(["settlement_batches"], "SELECT * FROM settlement_batches"))
 def settlement_batches(spark, sf):
