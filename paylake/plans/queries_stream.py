@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from paylake import schemas as S
 from paylake.plans.catalog import query, warehouse
-from paylake.plans.queries_ops import TS_MS, _corrupted
+from paylake.plans.oracle_base import with_ctes
+from paylake.plans.queries_ops import TXN_COLS, _corrupted
 from paylake.session import shared_dir
 from paylake.sources import raw_zone
 from paylake.streaming import landing
@@ -38,7 +39,9 @@ def _write_zone(spark, sf, root):
         raw_zone.write_raw(getattr(raw, t), root, t, _landed_at(RUN_1))
 
 
-@query("raw_zone_write")
+@query("raw_zone_write", with_ctes(["raw_" + t for t in LANDED], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 2026 AS year, 1 AS month, 1 AS day, COUNT(*) AS n_rows FROM raw_{t}"
+    for t in LANDED)))
 def raw_zone_write(spark, sf):
     """Land six raw tables as date-partitioned Parquet; read back rows per
     table and landing day."""
@@ -64,17 +67,19 @@ def ingest_metrics(spark, sf):
                  .groupBy("table_name").agg(F.count("*").alias("n_rows"), F.countDistinct("f").alias("n_files")))
 
 
-@query("ledger_load")
+@query("ledger_load", with_ctes(["raw_transactions"],
+                                "SELECT *, 2026 AS year, 1 AS month, 1 AS day FROM raw_transactions"))
 def ledger_load(spark, sf):
     """Load the landed transactions twice through the ledger; the second
-    run finds no new file, so the target holds each row once."""
+    run finds no new file, so the target holds each row once (lineage
+    columns ``source_file`` and ``load`` left out of the result)."""
     root = _scratch(spark, "raw")
     _write_zone(spark, sf, root)
     ledger, target = root + "_ledger", root + "_wh"
     schema = warehouse(spark, sf).raw.transactions.schema
     raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00", schema=schema)
     raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 02:00:00", schema=schema)
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).drop("source_file", "load")
 
 
 @query("unprocessed_files")
@@ -102,26 +107,41 @@ def _land(spark, sf):
     return base, raw_root, dlq
 
 
-@query("landing_stream")
+@query("landing_stream", with_ctes(["dlq_decoded"], "SELECT regexp_replace(topic, '^pg\\.', '') AS table_name, "
+                                   + ", ".join(TXN_COLS) + " FROM dlq_decoded WHERE error_msg IS NULL"))
 def landing_stream(spark, sf):
     """Messages -> decode -> dead-letter split -> raw zone, as one streaming
-    query with an ``availableNow`` trigger; returns the landed rows."""
+    query with an ``availableNow`` trigger; returns the landed rows (the
+    landing-date and batch partition columns left out)."""
     _, raw_root, _ = _land(spark, sf)
-    return spark.read.parquet(raw_root)
+    return spark.read.parquet(raw_root).drop("year", "month", "day", "batch")
 
 
-@query("stream_dedup")
+@query("stream_dedup", with_ctes(["dlq_decoded"], """
+SELECT DISTINCT txn_id FROM dlq_decoded
+WHERE error_msg IS NULL AND txn_id IS NOT NULL AND created_at IS NOT NULL"""))
 def stream_dedup(spark, sf):
+    """Keyed stream dedup of the landed rows; which copy of a duplicated key
+    survives depends on arrival, so the result is the surviving key set."""
     base, raw_root, _ = _land(spark, sf)
     q = landing.start_dedup(spark, raw_root, base + "/dedup", base + "/ckpt_dedup", S.RAW_SCHEMAS["transactions"])
     q.awaitTermination()
-    return spark.read.parquet(base + "/dedup")
+    return spark.read.parquet(base + "/dedup").select("txn_id")
 
 
-@query("stream_velocity")
+@query("stream_velocity", with_ctes(["live_transactions"], """
+, wins AS (
+  SELECT client_id, time_bucket(INTERVAL 1 MINUTE, initiated_at) - to_minutes(CAST(i AS BIGINT)) AS window_start
+  FROM (SELECT client_id, initiated_at, unnest(range(0, 10)) AS i FROM live_transactions)),
+wm AS (SELECT max(initiated_at) - INTERVAL 15 MINUTE AS w FROM live_transactions)
+SELECT client_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end, COUNT(*) AS n_txns
+FROM wins GROUP BY 1, 2
+HAVING COUNT(*) >= 5 AND window_start + INTERVAL 10 MINUTE <= (SELECT w FROM wm)"""))
 def stream_velocity(spark, sf):
     """Live velocity windows over the live transactions written as a file
-    stream."""
+    stream: 10-minute windows every minute with at least five transactions,
+    emitted once the watermark (15 minutes behind the latest event) has
+    passed the window's end."""
     live = warehouse(spark, sf).raw.live_transactions
     base = _scratch(spark, "velocity")
     live.write.parquet(base + "/in")
