@@ -123,10 +123,11 @@ def to_topic(messages: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
     """Deterministically damage some messages for dead-letter tests:
-    truncated JSON, a bare array, a type mismatch, a null payload, and a
-    message without the envelope (which is valid)."""
+    broken JSON (a ``;`` for the first ``:``), a bare array, a type
+    mismatch, a null payload, and a message without the envelope (which is
+    valid). Every damaged message keeps its whole text."""
     v, m = F.col("value"), id_col % 50
-    return messages.withColumn("value", F.when(m == 7, F.substring(v, 1, 40))
+    return messages.withColumn("value", F.when(m == 7, F.regexp_replace(v, r'^\{"_meta":', '{"_meta";'))
                                .when(m == 11, F.lit("[1,2]"))
                                .when(m == 13, F.regexp_replace(v, r'"txn_id":[0-9]+', '"txn_id":"oops"'))
                                .when(m == 17, F.regexp_extract(v, r'"payload":(\{.*\})\}$', 1))

@@ -152,7 +152,7 @@ def _corrupted(w):
 register("dlq_input", ["cdc_messages"], """
   dlq_input AS (
     SELECT topic, message_key,
-      CASE WHEN COALESCE(_id, 0) % 50 = 7 THEN substr(value, 1, 40)
+      CASE WHEN COALESCE(_id, 0) % 50 = 7 THEN regexp_replace(value, '^\\{"_meta":', '{"_meta";')
            WHEN COALESCE(_id, 0) % 50 = 11 THEN '[1,2]'
            WHEN COALESCE(_id, 0) % 50 = 13 THEN regexp_replace(value, '"txn_id":[0-9]+', '"txn_id":"oops"')
            WHEN COALESCE(_id, 0) % 50 = 17 THEN regexp_extract(value, '"payload":(\\{.*\\})\\}$', 1)
