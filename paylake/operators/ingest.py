@@ -131,7 +131,7 @@ def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
                                .when(m == 11, F.lit("[1,2]"))
                                .when(m == 13, F.regexp_replace(v, r'"txn_id":[0-9]+', '"txn_id":"oops"'))
                                .when(m == 17, F.regexp_extract(v, r'"payload":(\{.*\})\}$', 1))
-                               .when(m == 19, F.regexp_replace(v, r'"payload":\{.*\}\}$', '"payload":null}'))
+                               .when(m == 15, F.regexp_replace(v, r'"payload":\{.*\}\}$', '"payload":null}'))
                                .otherwise(v))
 
 

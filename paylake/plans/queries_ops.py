@@ -156,7 +156,7 @@ register("dlq_input", ["cdc_messages"], """
            WHEN COALESCE(_id, 0) % 50 = 11 THEN '[1,2]'
            WHEN COALESCE(_id, 0) % 50 = 13 THEN regexp_replace(value, '"txn_id":[0-9]+', '"txn_id":"oops"')
            WHEN COALESCE(_id, 0) % 50 = 17 THEN regexp_extract(value, '"payload":(\\{.*\\})\\}$', 1)
-           WHEN COALESCE(_id, 0) % 50 = 19 THEN regexp_replace(value, '"payload":\\{.*\\}\\}$', '"payload":null}')
+           WHEN COALESCE(_id, 0) % 50 = 15 THEN regexp_replace(value, '"payload":\\{.*\\}\\}$', '"payload":null}')
            ELSE value END AS value
     FROM cdc_messages)""")
 

@@ -25,3 +25,8 @@ def test_every_query_has_oracle_or_is_storage_bound():
 def test_detectors_not_empty(spark, key):
     # a comparison must never pass on emptiness
     assert QUERIES[key](spark, SF_SMALL).count() > 0
+
+
+def test_every_reject_reason_occurs(spark):
+    got = {r.error_msg for r in QUERIES["dead_letter"](spark, SF_SMALL).select("error_msg").distinct().collect()}
+    assert got == {"malformed_json", "not_an_object", "null_payload", "type_mismatch:txn_id"}
