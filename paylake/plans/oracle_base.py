@@ -75,7 +75,8 @@ CTES["raw_transactions"] = ([], f"""
       'TXN-' || CAST(ok AS VARCHAR) || '-' || CAST(ln AS VARCHAR) AS reference,
       CASE WHEN ok % 31 = 0 THEN NULL ELSE o_custkey END AS client_id,
       o_custkey * 3 + ln % (o_custkey % 3 + 1) AS card_id,
-      CASE WHEN ok % 10 < 7 THEN (l_suppkey % 10) * 3 + ln % 3 END AS pos_id,
+      CASE WHEN ok % 10 < 7 AND pk % 53 = 0 THEN (l_suppkey % 10) * 3 + ln % 3 + 900000000
+           WHEN ok % 10 < 7 THEN (l_suppkey % 10) * 3 + ln % 3 END AS pos_id,
       CASE WHEN NOT (ok % 10 < 7) AND pk % 17 = 0 THEN NULL ELSE l_suppkey % 10 END AS merchant_id,
       CAST(pk % 7 + 1 AS INTEGER) AS type_id,
       status_id,
@@ -147,7 +148,7 @@ CTES["raw_merchants"] = ([], f"""
            ELSE list_extract({_list([m for m, _ in S.MERCHANT_CATEGORIES])}, CAST(s_suppkey % 15 + 1 AS INTEGER))
            END AS INTEGER) AS mcc,
       'TAX' || CAST(s_suppkey AS VARCHAR) AS tax_id,
-      CAST(s_nationkey AS INTEGER) AS country_id,
+      CAST(CASE WHEN s_suppkey % 31 = 30 THEN 99 ELSE s_nationkey END AS INTEGER) AS country_id,
       CAST(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END AS INTEGER) AS is_active,
       TIMESTAMP '2023-01-01 00:00:00' + to_days(CAST(s_suppkey % 365 AS INTEGER)) AS onboarded_at,
       CASE WHEN s_suppkey % 19 = 7 THEN NULL

@@ -105,7 +105,9 @@ class RawTables:
             F.concat(F.lit("TXN-"), ok.cast("string"), F.lit("-"), ln.cast("string")).alias("reference"),
             F.when(ok % 31 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("client_id"),
             (F.col("o_custkey") * 3 + ln % (F.col("o_custkey") % 3 + 1)).alias("card_id"),
-            F.when(has_pos, merchant * 3 + ln % 3).alias("pos_id"),
+            # a few terminals are unknown to the terminal table (orphans)
+            F.when(has_pos & (pk % 53 == 0), merchant * 3 + ln % 3 + 900_000_000)
+             .when(has_pos, merchant * 3 + ln % 3).alias("pos_id"),
             F.when(~has_pos & (pk % 17 == 0), F.lit(None)).otherwise(merchant).alias("merchant_id"),
             (pk % 7 + 1).cast("int").alias("type_id"),
             status,
@@ -193,7 +195,8 @@ class RawTables:
              .otherwise(F.element_at(_arr([m for m, _ in S.MERCHANT_CATEGORIES]), (sk % 15 + 1).cast("int")))
              .cast("int").alias("mcc"),
             F.concat(F.lit("TAX"), sk.cast("string")).alias("tax_id"),
-            F.col("s_nationkey").cast("int").alias("country_id"),
+            # a few merchants name a country that does not exist (orphans)
+            F.when(sk % 31 == 30, 99).otherwise(F.col("s_nationkey")).cast("int").alias("country_id"),
             F.when(F.col("s_acctbal") < 0, 0).otherwise(1).cast("int").alias("is_active"),
             F.timestamp_add("DAY", sk % 365, F.lit("2023-01-01 00:00:00").cast("timestamp_ntz"))
              .alias("onboarded_at"),

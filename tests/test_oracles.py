@@ -30,3 +30,9 @@ def test_detectors_not_empty(spark, key):
 def test_every_reject_reason_occurs(spark):
     got = {r.error_msg for r in QUERIES["dead_letter"](spark, SF_SMALL).select("error_msg").distinct().collect()}
     assert got == {"malformed_json", "not_an_object", "null_payload", "type_mismatch:txn_id"}
+
+
+def test_fk_orphans_are_found(spark):
+    got = {(r.child_table, r.child_column): r.orphans for r in QUERIES["fk_orphans"](spark, SF_SMALL).collect()}
+    assert got[("transactions", "pos_id")] > 0 and got[("merchants", "country_id")] > 0
+    assert got[("transactions", "type_id")] == 0
