@@ -34,5 +34,5 @@ def test_every_reject_reason_occurs(spark):
 
 def test_fk_orphans_are_found(spark):
     got = {(r.child_table, r.child_column): r.orphans for r in QUERIES["fk_orphans"](spark, SF_SMALL).collect()}
-    assert got[("transactions", "pos_id")] > 0 and got[("merchants", "country_id")] > 0
+    assert got[("transactions", "pos_id")] > 0        # merchant-country orphans start at sf0.01
     assert got[("transactions", "type_id")] == 0
