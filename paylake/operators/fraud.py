@@ -147,12 +147,17 @@ def review_funnel(alerts: DataFrame) -> DataFrame:
 def summary(txns: DataFrame, alerts: DataFrame) -> DataFrame:
     """One row: transactions, flagged, flagged share (bp), alerts, alerted
     transactions and alerts per alerted transaction x100 (A7)."""
+    long = "bigint"
     t = txns.agg(F.count("*").alias("n_txns"),
-                 F.sum(F.when(F.col("is_flagged") == 1, 1).otherwise(0)).cast("bigint").alias("n_flagged"))
-    a = alerts.agg(F.count("*").alias("n_alerts"),
-                   F.countDistinct("txn_id").alias("n_alerted_txns"))
-    # two single-row aggregates, joined on a constant key
-    j = t.withColumn("_one", F.lit(1)).join(a.withColumn("_one", F.lit(1)), "_one")
+                 F.sum(F.when(F.col("is_flagged") == 1, 1).otherwise(0)).cast(long).alias("n_flagged")) \
+        .select("n_txns", "n_flagged", F.lit(None).cast(long).alias("n_alerts"),
+                F.lit(None).cast(long).alias("n_alerted_txns"))
+    a = alerts.agg(F.count("*").alias("n_alerts"), F.countDistinct("txn_id").alias("n_alerted_txns")) \
+        .select(F.lit(None).cast(long).alias("n_txns"), F.lit(None).cast(long).alias("n_flagged"),
+                "n_alerts", "n_alerted_txns")
+    # two one-row aggregates folded into one row: a union and a global
+    # aggregate, no join
+    j = t.unionByName(a).agg(*[F.max(c).alias(c) for c in ("n_txns", "n_flagged", "n_alerts", "n_alerted_txns")])
     return j.select("n_txns", "n_flagged",
                     F.expr("n_flagged * 10000 div n_txns").alias("flagged_bp"),
                     "n_alerts", "n_alerted_txns",

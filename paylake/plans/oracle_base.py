@@ -236,7 +236,7 @@ CTES["raw_refunds"] = (["raw_transactions"], f"""
       CAST(CASE WHEN txn_id % 10 < 3 THEN CAST(abs(amount) * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(14,2))
                 ELSE abs(amount) END AS DECIMAL(14,2)) AS amount,
       list_extract({_list(S.REFUND_REASONS)}, CAST(txn_id % 6 + 1 AS INTEGER)) AS reason,
-      1 AS status_id,
+      CAST(CASE WHEN txn_id % 23 = 0 THEN 4 ELSE 1 END AS INTEGER) AS status_id,
       initiated_at + to_days(CAST(txn_id % 30 AS INTEGER)) AS initiated_at,
       initiated_at + to_days(CAST(txn_id % 30 AS INTEGER)) + to_hours(CAST(txn_id % 72 + 1 AS BIGINT))
         AS resolved_at,

@@ -313,10 +313,11 @@ SELECT key AS table_name FROM (SELECT DISTINCT key FROM state_log) k
 WHERE key NOT IN (SELECT key FROM state_log GROUP BY key HAVING arg_max(status, off) = 'completed')"""))
 def pending_tables(spark, sf):
     """Catalogue tables whose full load is not (or no longer) complete."""
-    log = _state_log(_w(spark, sf))
-    done = ingest.latest_state(log)
-    return (log.select(F.col("key").alias("table_name")).distinct()
-               .join(done, "table_name", "left_anti"))
+    w = _w(spark, sf)
+    done = ingest.latest_state(_state_log(w))
+    catalogue = spark.createDataFrame([(t,) for t, _, _, _ in S.TABLE_CATALOGUE if t != "settlement_batches"],
+                                      "table_name string")
+    return catalogue.join(done, "table_name", "left_anti")
 
 
 @query("json_fields", """

@@ -316,7 +316,8 @@ class RawTables:
             F.when(k % 10 < 3, (full * F.lit(0.5).cast("decimal(2,1)")).cast("decimal(14,2)"))
              .otherwise(full).cast("decimal(14,2)").alias("amount"),
             F.element_at(_arr(S.REFUND_REASONS), (k % 6 + 1).cast("int")).alias("reason"),
-            F.lit(1).alias("status_id"),
+            # refunds are approved, a few later reversed
+            F.when(k % 23 == 0, 4).otherwise(1).cast("int").alias("status_id"),
             init.alias("initiated_at"),
             F.timestamp_add("HOUR", k % 72 + 1, init).alias("resolved_at"),
             F.col("created_at"),

@@ -169,3 +169,15 @@ def test_poll_with_persisted_watermark(spark):
     rows2, st2 = ingest.poll(df, "t", "ts", st, "2025-01-01 00:00:00")
     assert sorted(r.id for r in rows2.collect()) == [2, 3]
     assert st2.first().watermark == dt.datetime(2025, 1, 1, 11)
+
+
+def test_no_cross_join_or_python_in_any_plan(spark):
+    storage = {"raw_zone_write", "raw_file_listing", "ingest_metrics", "ledger_load", "unprocessed_files",
+               "landing_stream", "stream_dedup", "stream_velocity"}
+    bad = []
+    for key, fn in QUERIES.items():
+        if key in storage:
+            continue
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        bad += [(key, op) for op in ("NestedLoop", "Cartesian", "BatchEvalPython", "ArrowEvalPython") if op in plan]
+    assert bad == []
