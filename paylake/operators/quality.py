@@ -110,9 +110,17 @@ def source_tests(raw) -> list[DataFrame]:
     return out
 
 
+def relationship_tests(wh) -> list[DataFrame]:
+    """One ``relationships`` row per declared foreign key (Q9)."""
+    fk = fk_orphans(wh.raw, tables={"settlement_batches": wh.settlement_batches})
+    return [fk.select(F.lit("relationships").alias("check_name"), F.col("child_table").alias("model"),
+                      F.col("child_column").alias("column_name"), F.col("orphans").alias("failures"))]
+
+
 def dq_report(wh) -> DataFrame:
-    """All declared and source checks, one row each (the gate's input)."""
-    return _union(declared_tests(wh) + source_tests(wh.raw)).select(*REPORT_COLS)
+    """All declared, source and relationship checks, one row each (the
+    gate's input)."""
+    return _union(declared_tests(wh) + source_tests(wh.raw) + relationship_tests(wh)).select(*REPORT_COLS)
 
 
 def gate(report: DataFrame, checks: Sequence[tuple[str, str]] | None = None) -> None:

@@ -398,6 +398,33 @@ def dq_accepted_range(spark, sf):
                               [quality.accepted_range("amount", min_value=0)]))
 
 
+def _fk_sql() -> tuple[list[str], str]:
+    deps, parts = set(), []
+    for child, col, parent, pkey in S.FOREIGN_KEYS:
+        c = "settlement_batches" if child == "settlement_batches" else "raw_" + child
+        deps.update([c, "raw_" + parent])
+        parts.append(f"SELECT '{child}' AS child_table, '{col}' AS child_column, '{parent}' AS parent_table, "
+                     f"'{pkey}' AS parent_column, COUNT(*) AS orphans FROM {c} WHERE {col} IS NOT NULL AND "
+                     f"{col} NOT IN (SELECT {pkey} FROM raw_{parent} WHERE {pkey} IS NOT NULL)")
+    return sorted(deps), " UNION ALL ".join(parts)
+
+
+register("settlement_batches", ["current_status"], f"""
+  sb_g AS (
+    SELECT merchant_id, CAST(initiated_at AS DATE) AS batch_date, COUNT(*) AS txn_count,
+      CAST(SUM(ABS(amount)) AS DECIMAL(16,2)) AS gross_amount, CAST(SUM(fee) AS DECIMAL(14,2)) AS total_fees
+    FROM current_status WHERE status_code IN ('APPROVED','SETTLED') AND merchant_id IS NOT NULL
+      AND initiated_at IS NOT NULL GROUP BY 1, 2),
+  settlement_batches AS (
+    SELECT merchant_id * 100000 + date_diff('day', DATE '2000-01-01', batch_date) AS batch_id,
+      merchant_id, batch_date, txn_count, gross_amount, total_fees,
+      CAST(gross_amount - total_fees AS DECIMAL(16,2)) AS net_payout, 'USD' AS currency,
+      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2 THEN 'SETTLED' ELSE 'PENDING' END AS status,
+      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2
+           THEN CAST(batch_date AS TIMESTAMP) + INTERVAL 22 HOUR END AS settled_at
+    FROM sb_g)""")
+
+
 def _dq_report_sql() -> str:
     parts = []
     for m, k in _STAGING_KEYS:
@@ -422,12 +449,16 @@ def _dq_report_sql() -> str:
                             ("accepted_values", "currency", f"currency IS NOT NULL AND currency NOT IN ({curs})")]:
         parts.append(f"SELECT '{name}', 'transactions', '{col}', (SELECT COUNT(*) FROM raw_transactions "
                      f"WHERE {pred})")
+    for child, col, parent, pkey in S.FOREIGN_KEYS:
+        c = "settlement_batches" if child == "settlement_batches" else "raw_" + child
+        parts.append(f"SELECT 'relationships', '{child}', '{col}', (SELECT COUNT(*) FROM {c} WHERE {col} IS NOT NULL "
+                     f"AND {col} NOT IN (SELECT {pkey} FROM raw_{parent} WHERE {pkey} IS NOT NULL))")
     return "SELECT check_name, model, column_name, CAST(failures AS BIGINT) AS failures FROM (" + \
         " UNION ALL ".join(parts) + ")"
 
 
 @query("dq_report", with_ctes([m for m, _ in _STAGING_KEYS] + ["fact_transactions"]
-                              + ["raw_" + t for t, _ in quality.SOURCE_UNIQUE], _dq_report_sql()))
+                              + ["raw_" + t for t, _ in quality.SOURCE_UNIQUE] + _fk_sql()[0], _dq_report_sql()))
 def dq_report(spark, sf):
     """Every declared and source check in one report; ``quality.gate``
     raises on it when a declared check fails."""
@@ -499,33 +530,6 @@ def dq_one_default_card(spark, sf):
     return quality.default_card_violations(_w(spark, sf).raw.payment_cards)
 
 
-def _fk_sql() -> tuple[list[str], str]:
-    deps, parts = set(), []
-    for child, col, parent, pkey in S.FOREIGN_KEYS:
-        c = "settlement_batches" if child == "settlement_batches" else "raw_" + child
-        deps.update([c, "raw_" + parent])
-        parts.append(f"SELECT '{child}' AS child_table, '{col}' AS child_column, '{parent}' AS parent_table, "
-                     f"'{pkey}' AS parent_column, COUNT(*) AS orphans FROM {c} WHERE {col} IS NOT NULL AND "
-                     f"{col} NOT IN (SELECT {pkey} FROM raw_{parent} WHERE {pkey} IS NOT NULL)")
-    return sorted(deps), " UNION ALL ".join(parts)
-
-
-register("settlement_batches", ["current_status"], f"""
-  sb_g AS (
-    SELECT merchant_id, CAST(initiated_at AS DATE) AS batch_date, COUNT(*) AS txn_count,
-      CAST(SUM(ABS(amount)) AS DECIMAL(16,2)) AS gross_amount, CAST(SUM(fee) AS DECIMAL(14,2)) AS total_fees
-    FROM current_status WHERE status_code IN ('APPROVED','SETTLED') AND merchant_id IS NOT NULL
-      AND initiated_at IS NOT NULL GROUP BY 1, 2),
-  settlement_batches AS (
-    SELECT merchant_id * 100000 + date_diff('day', DATE '2000-01-01', batch_date) AS batch_id,
-      merchant_id, batch_date, txn_count, gross_amount, total_fees,
-      CAST(gross_amount - total_fees AS DECIMAL(16,2)) AS net_payout, 'USD' AS currency,
-      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2 THEN 'SETTLED' ELSE 'PENDING' END AS status,
-      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2
-           THEN CAST(batch_date AS TIMESTAMP) + INTERVAL 22 HOUR END AS settled_at
-    FROM sb_g)""")
-
-
 @query("fk_orphans", with_ctes(*_fk_sql()))
 def fk_orphans(spark, sf):
     """Orphan child rows per declared foreign key."""
