@@ -117,10 +117,12 @@ def relationship_tests(wh) -> list[DataFrame]:
                       F.col("child_column").alias("column_name"), F.col("orphans").alias("failures"))]
 
 
-def dq_report(wh) -> DataFrame:
-    """All declared, source and relationship checks, one row each (the
-    gate's input)."""
-    return _union(declared_tests(wh) + source_tests(wh.raw) + relationship_tests(wh)).select(*REPORT_COLS)
+def dq_report(wh, relationships: bool = False) -> DataFrame:
+    """All declared and source checks, one row each (the gate's input);
+    with ``relationships`` also one row per foreign key (the same work as
+    :func:`fk_orphans`, so it is opt-in)."""
+    parts = declared_tests(wh) + source_tests(wh.raw) + (relationship_tests(wh) if relationships else [])
+    return _union(parts).select(*REPORT_COLS)
 
 
 def gate(report: DataFrame, checks: Sequence[tuple[str, str]] | None = None) -> None:

@@ -181,3 +181,9 @@ def test_no_cross_join_or_python_in_any_plan(spark):
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         bad += [(key, op) for op in ("NestedLoop", "Cartesian", "BatchEvalPython", "ArrowEvalPython") if op in plan]
     assert bad == []
+
+
+def test_report_with_relationships(spark):
+    w = warehouse(spark, SF_SMALL)
+    r = quality.dq_report(w, relationships=True).filter(F.col("check_name") == "relationships")
+    assert r.count() == len(S.FOREIGN_KEYS)
