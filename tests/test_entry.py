@@ -7,3 +7,9 @@ def test_entry_and_contract(spark):
     assert df.count() > 0
     assert set(m.oracle_sql()) <= set(m.queries())
     assert len(m.queries()) >= 70
+
+
+def test_bench_headline_keys_are_registered():
+    import bench
+    from paylake.plans.catalog import QUERIES
+    assert set(bench.HEADLINE) <= set(QUERIES)
