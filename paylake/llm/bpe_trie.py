@@ -14,6 +14,7 @@ cache, so a task's memory does not grow with the input.
 """
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 # fixed value: the pre-tokenizer's pattern, as stated in the tokenizer file
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 CACHE_WORDS = 300_000   # words remembered by one task
 SLICE_CHARS = 4_000_000  # characters whose words share one trie
 
@@ -45,7 +47,9 @@ class Vocabulary:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            content = f.read()
+        self.digest = hashlib.sha256(content.encode()).hexdigest()
+        spec = json.loads(content)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -59,7 +63,18 @@ class Vocabulary:
             self.merged[a, b] = rank
             if c not in self.halves:
                 self.rank[c], self.halves[c] = rank, (a, b)
-        self.longest = max(len(s) for s in self.ids)
+        # tokens by their letters read backwards, so that one walk from the end of a
+        # prefix meets every token that ends there; word-final tokens apart
+        self.inner: dict = {}
+        self.final: dict = {}
+        for name, token in self.ids.items():
+            half = self.halves.get(token)
+            if half is not None and self.merged[half] != self.rank[token]:
+                continue
+            node, letters = (self.final, name[:-len(END)]) if name.endswith(END) else (self.inner, name)
+            for c in reversed(letters):
+                node = node.setdefault(c, {})
+            node[END] = token
 
 
 class TrieEncoder:
@@ -72,7 +87,9 @@ class TrieEncoder:
         self.parted = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
         self.stays: dict[tuple[int, int], bool] = {}
         self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[int, str, str]] = {}
+        self.ids: dict[str, str] = {}
+        self.shown: dict[str, str] = {}
+        self.bare: set[str] = set()  # chunks without any piece
 
     def apart(self, a: int, b: int) -> bool:
         """Whether merging leaves a boundary between neighbours ``a`` and ``b``.
@@ -81,9 +98,6 @@ class TrieEncoder:
         boundary falls if at any stage the two tokens that touch it could have
         merged before the later of them was made.
         """
-        known = self.stays.get((a, b))
-        if known is not None:
-            return known
         v, x, y = self.v, a, b
         # a joint merge happens if its rank is below the rank at which either
         # side grows further; on equal rank the left pair goes first
@@ -106,22 +120,26 @@ class TrieEncoder:
         self.stays[a, b] = ok
         return ok
 
-    def _last(self, path: str, end: str, back: list[tuple[int, int]]) -> tuple[int, int]:
+    def _last(self, path: str, tokens: dict, back: list[tuple[int, int]]) -> tuple[int, int]:
         """Last token and its length for the prefix ``path``; ``back[d]`` is the
-        state of the prefix of length d."""
-        n = len(path)
-        for start in range(max(0, n - self.v.longest), n):
-            token = self.v.ids.get(path[start:] + end)
-            if token is not None and (start == 0 or self.apart(back[start][0], token)) and self._whole(token):
-                return token, n - start
+        state of the prefix of length d. Exactly one token fits."""
+        node, start, stays = tokens, len(path), self.stays
+        while start:
+            start -= 1
+            node = node.get(path[start])
+            if node is None:
+                break
+            token = node.get(END)
+            if token is not None:
+                if start == 0:
+                    return token, len(path)
+                before = back[start][0]
+                ok = stays.get((before, token))
+                if ok or ok is None and self.apart(before, token):
+                    return token, len(path) - start
         raise ValueError(f"no token ends {path!r}")
 
-    def _whole(self, token: int) -> bool:
-        """Whether merging its own letters yields the token."""
-        half = self.v.halves.get(token)
-        return half is None or self.v.merged.get(half) == self.v.rank[token]
-
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Insert ``words`` (in byte letters) into a trie and encode them all depth first."""
         root: dict = {}
         for w in words:
@@ -142,7 +160,7 @@ class TrieEncoder:
                         self._read(w, back)
                     continue
                 here = path + key
-                back.append(self._last(here, "", back))
+                back.append(self._last(here, self.v.inner, back))
                 stack.append((here, iter(child.items())))
                 break
             else:
@@ -150,7 +168,7 @@ class TrieEncoder:
                 back.pop()
 
     def _read(self, word: str, back: list[tuple[int, int]]) -> None:
-        token, size = self._last(word, END, back)
+        token, size = self._last(word, self.v.final, back)
         ids, at = [token], len(word) - size
         while at > 0:
             token, size = back[at]
@@ -159,54 +177,79 @@ class TrieEncoder:
         ids.reverse()
         self.words[word] = ids
 
-    def normal(self, text: str) -> str:
-        """NFC, then lower case letter by letter (no final-sigma rule)."""
+    def split(self, text: str) -> list[str]:
+        """White-space chunks of the text in NFC and lower case (letter by letter:
+        no final-sigma rule). No piece spans two chunks."""
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            if "Σ" in text:
+                text = text.replace("Σ", "σ")
+        text = text.lower()
+        if any(c in text for c in SEPARATORS):  # Python splits there, the pattern does not
+            return [c for c in regex.split("[ \\n\\t\\r]", text) if c]
+        return text.split()
 
-    def split(self, text: str) -> list[str]:
-        """White-space chunks of a normalised text; no piece spans two of them."""
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    def _remember(self, chunks: set[str]) -> None:
+        """Encode chunks not met before; all their new words share one trie."""
+        pieces_of: dict[str, list[str]] = {}
+        for chunk in chunks:
+            pieces_of[chunk] = [
+                piece if piece.isascii() and piece.isprintable()  # such bytes stand for themselves
+                else "".join(map(self.letters.__getitem__, piece.encode())) for piece in self.pieces.findall(chunk)]
+        self.learn({w for pieces in pieces_of.values() for w in pieces}.difference(self.words))
+        for chunk, pieces in pieces_of.items():
+            if not pieces:
+                self.bare.add(chunk)
+            ids = [i for w in pieces for i in self.words[w]]
+            self.ids[chunk] = " ".join(map(str, ids))
+            self.shown[chunk] = " ".join(map(self.v.text.__getitem__, ids))
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of tokens, ids joined by spaces, decoded text) of each text."""
-        if len(self.words) > CACHE_WORDS or len(self.chunks) > CACHE_WORDS:
-            self.words.clear()
-            self.chunks.clear()
-        parted = []
+        if len(self.words) > CACHE_WORDS or len(self.ids) > CACHE_WORDS:
+            for kept in (self.words, self.ids, self.shown, self.bare):
+                kept.clear()
+        parted, new = [], set()
         for text in texts:
-            parts = self.parted.split(text) if any(s in text for s in self.v.special) else [text]
-            parted.append([p if p in self.v.special else self.split(self.normal(p)) for p in parts])
-        new: dict[str, list[str]] = {}
-        for parts in parted:
+            if any(s in text for s in self.v.special):
+                parts = [p if p in self.v.special else self.split(p) for p in self.parted.split(text)]
+            else:
+                parts = [self.split(text)]
             for p in parts:
                 if not isinstance(p, str):
-                    for chunk in set(p).difference(self.chunks):
-                        new[chunk] = []
-        for chunk, pieces in new.items():
-            for piece in self.pieces.findall(chunk):
-                if piece.isascii() and piece.isprintable():  # such bytes stand for themselves
-                    pieces.append(piece)
-                else:
-                    pieces.append("".join(map(self.letters.__getitem__, piece.encode())))
-        fresh = {w for pieces in new.values() for w in pieces}.difference(self.words)
-        self.learn(sorted(fresh))
-        for chunk, pieces in new.items():
-            ids = [i for w in pieces for i in self.words[w]]
-            self.chunks[chunk] = len(ids), " ".join(map(str, ids)), " ".join(map(self.v.text.__getitem__, ids))
+                    new.update(set(p).difference(self.ids))
+            parted.append(parts)
+        self._remember(new)
         out = []
         for parts in parted:
-            got = []
+            ids, shown = [], []
             for p in parts:
                 if isinstance(p, str):
-                    got.append((1, str(self.v.special[p]), p))
-                else:
-                    got.extend(x for x in map(self.chunks.__getitem__, p) if x[0])
-            out.append((sum(x[0] for x in got), " ".join([x[1] for x in got]), " ".join([x[2] for x in got])))
+                    ids.append(str(self.v.special[p]))
+                    shown.append(p)
+                    continue
+                if self.bare:
+                    p = [c for c in p if c not in self.bare]
+                ids.extend(map(self.ids.__getitem__, p))
+                shown.extend(map(self.shown.__getitem__, p))
+            line = " ".join(ids)
+            out.append((line.count(" ") + 1 if line else 0, line, " ".join(shown)))
         return out
 
 
+_encoders: dict[str, TrieEncoder] = {}
+
+
+def encoder_for(vocabulary: Vocabulary) -> TrieEncoder:
+    """The encoder of this worker process, so that tasks after the first find its words known."""
+    if vocabulary.digest not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary.digest] = TrieEncoder(vocabulary)
+        gc.disable()  # the tables hold no cycles, and scanning them again and again is slow
+    return _encoders[vocabulary.digest]
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -238,7 +281,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
     vocabulary = spark.sparkContext.broadcast(Vocabulary(path or default_path()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TrieEncoder(vocabulary.value)
+        encoder = encoder_for(vocabulary.value)
         for batch in batches:
             at = 0
             for texts in slices([t or "" for t in batch.column(1).to_pylist()]):

@@ -31,3 +31,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = measure(documents(spark, sf_dir))
     return m.select("_row.doc_id", *[f"_q.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+@query("op2_bpe_trie")
+def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.bpe_trie import encode
+    from paylake.llm.common import documents
+    return encode(documents(spark, sf_dir), ids=False)

@@ -25,16 +25,16 @@ def quality_metrics(table: str = "documents") -> str:
                len(regexp_extract_all(t, '[{SYMBOLS}]'))::BIGINT AS n_symbols,
                (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
                coalesce(r.n, 0)::BIGINT AS n_repeat_words,
-               len(list_filter(ws, x -> x IN ({_STOP}))) AS n_stop,
-               len(list_filter(ls, x -> regexp_matches(ltrim(x), '^(?:[-*•]|\\d+[.)])\\s'))) AS n_bullet,
-               len(list_filter(ls, x -> regexp_matches(rtrim(x), '(?:\\.\\.\\.|…)$'))) AS n_ellipsis
-        FROM base b LEFT JOIN repeated r USING (rid)) m))"""
+               len([x FOR x IN ws IF x IN ({_STOP})]) AS n_stop,
+               len([x FOR x IN ls IF regexp_matches(ltrim(x), '^(?:[-*•]|\\d+[.)])\\s')]) AS n_bullet,
+               len([x FOR x IN ls IF regexp_matches(rtrim(x), '(?:\\.\\.\\.|…)$')]) AS n_ellipsis
+        FROM base b LEFT JOIN repeated r USING (rid)) m)"""
 
 
 QUALITY_CTES = r"""
 base AS (
-  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  SELECT *, [x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''] AS ws,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
   FROM (SELECT *, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents)),
 windows AS (
   SELECT rid, i, array_to_string(ws[i:i + 7], chr(1)) AS k
