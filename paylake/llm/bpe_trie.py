@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylake.llm.common import ship
+
 # fixed value: the pre-tokenizer's pattern, as stated in the tokenizer file
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
@@ -277,8 +279,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
     empty result; other columns of ``docs`` are not read, so their names cannot
     clash. ``ids=False`` leaves ``token_ids`` out and keeps the digests only.
     """
-    spark = docs.sparkSession
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(path or default_path()))
+    vocabulary = ship(docs.sparkSession).broadcast(Vocabulary(path or default_path()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocabulary.value)

@@ -1,7 +1,10 @@
 """Helpers the operators of this subpackage share."""
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,3 +43,24 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession):
+    """Send this package to the Python workers once per application (as
+    ``--py-files`` would) and return the context for broadcasts."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="paylake-py-"), "paylake.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(top)))
+        sc.addPyFile(path)
+        _shipped.add(sc.applicationId)
+    return sc

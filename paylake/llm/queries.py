@@ -38,3 +38,11 @@ def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.bpe_trie import encode
     from paylake.llm.common import documents
     return encode(documents(spark, sf_dir), ids=False)
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.secrets_crf import scan, train
+    docs = documents(spark, sf_dir)
+    return scan(docs, train(docs))
