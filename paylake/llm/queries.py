@@ -46,3 +46,18 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.secrets_crf import scan, train
     docs = documents(spark, sf_dir)
     return scan(docs, train(docs))
+
+
+@query("op4_curriculum_mix", sql.MIX)
+def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.curriculum import report
+    return report(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "first_time")
+
+
+@query("op5_simhash_anchors")
+def op5_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.simhash import near_duplicates
+    return near_duplicates(documents(spark, sf_dir), size=3, max_bits=3)

@@ -48,3 +48,42 @@ repeated AS (
 QUALITY = f"""WITH {QUALITY_CTES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
 FROM ({quality_metrics()})"""
+
+
+def mix_rows(table: str = "documents") -> str:
+    """One row per row of ``table`` with size, source_size, target, copies and tilt."""
+    return rf"""
+    SELECT *, CASE WHEN size > 0
+        THEN greatest(floor((target - (before + size / 2.0)) / source_size) + 1, 0)::BIGINT ELSE 0 END AS copies
+    FROM (
+      SELECT d.*, t.source_size, t.target, t.tilt,
+             coalesce(sum(size) OVER (PARTITION BY d.s ORDER BY d.h, d.doc_id, d.size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+      FROM mix_sized d JOIN mix_targets t ON d.s = t.s)"""
+
+
+MIX_CTES = r"""
+mix_sized AS (
+  SELECT *, len([x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''])::BIGINT AS size,
+         coalesce('0' || source, '1') AS s, md5(doc_id::VARCHAR) AS h FROM {table}),
+mix_ranked AS (
+  SELECT s, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY s) AS r FROM mix_sized GROUP BY s),
+mix_caps AS (
+  SELECT *, (ARRAY[5.0, 2.0, 1.0])[(r - 1) % 3 + 1]::DOUBLE AS w, (ARRAY[0.5, 0.0, -0.5])[(r - 1) % 3 + 1]::DOUBLE AS tilt,
+         3.0::DOUBLE * source_size AS cap, (sum(source_size) OVER ())::DOUBLE AS everything FROM mix_ranked),
+mix_levels AS (
+  SELECT *, (everything - coalesce(sum(cap) OVER (ORDER BY cap / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER (ORDER BY cap / w, r) AS n FROM mix_caps),
+mix_targets AS (
+  SELECT s, source_size, tilt, CASE WHEN fill IS NULL THEN cap ELSE least(cap, fill * w) END AS target
+  FROM (SELECT *, first_value(CASE WHEN level <= cap / w THEN level END IGNORE NULLS)
+                  OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS fill FROM mix_levels))"""
+
+_SHARE = "((before + size / 2.0) / target)"
+MIX = f"""WITH {MIX_CTES.replace("{table}", "documents")}
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
+       CASE WHEN copies > 0 THEN CASE WHEN tilt = 0 THEN {_SHARE}
+            ELSE (1 + tilt - sqrt(greatest((1 + tilt) * (1 + tilt) - 4 * tilt * {_SHARE}, 0.0))) / (2 * tilt) END END
+         AS first_time
+FROM ({mix_rows()})"""
