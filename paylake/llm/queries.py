@@ -61,3 +61,12 @@ def op5_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.simhash import near_duplicates
     return near_duplicates(documents(spark, sf_dir), size=3, max_bits=3)
+
+
+@query("op8_toxic_segments")
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.toxicity import score, train
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score(docs, train(docs, labels))
