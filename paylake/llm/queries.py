@@ -70,3 +70,10 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return score(docs, train(docs, labels))
+
+
+@query("op6_relative_lz")
+def op6_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.relative_lz import remove_repeats
+    return remove_repeats(documents(spark, sf_dir), window=35)
