@@ -77,3 +77,10 @@ def op6_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.relative_lz import remove_repeats
     return remove_repeats(documents(spark, sf_dir), window=35)
+
+
+@query("op1_context_tree")
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.context_tree import score
+    return score(documents(spark, sf_dir))
