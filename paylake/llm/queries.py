@@ -84,3 +84,10 @@ def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.context_tree import score
     return score(documents(spark, sf_dir))
+
+
+@query("op10_lookup_sketch")
+def op10_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.iblt import compare_edited
+    return compare_edited(documents(spark, sf_dir))
