@@ -91,3 +91,10 @@ def op10_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.iblt import compare_edited
     return compare_edited(documents(spark, sf_dir))
+
+
+@query("op9_license_windows", sql.LICENSES)
+def op9_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.licenses import scan
+    return scan(documents(spark, sf_dir))

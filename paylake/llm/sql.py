@@ -87,3 +87,30 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
             ELSE (1 + tilt - sqrt(greatest((1 + tilt) * (1 + tilt) - 4 * tilt * {_SHARE}, 0.0))) / (2 * tilt) END END
          AS first_time
 FROM ({mix_rows()})"""
+
+
+def _license_values() -> str:
+    from paylake.llm.licenses import templates
+    quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    return ", ".join(f"('{t.name}', {t.window}, {quoted(t.words)})" for t in templates())
+
+
+# every window and template with a shingle in common, so it also tells what the bands must retrieve
+LICENSES = rf"""WITH t(license, w, ws) AS (VALUES {_license_values()}),
+ts AS (SELECT DISTINCT license, w, s FROM (
+  SELECT license, w, unnest([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]) AS s FROM t)),
+sizes AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+        [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), '{"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}', '{"abcdefghijklmnopqrstuvwxyz"}'),
+                                          '[^\p{{L}}\p{{N}}]+') IF x <> ''] AS ws FROM documents),
+s AS (SELECT rid, doc_id, p, array_to_string(ws[p:p + 4], ' ') AS s
+      FROM (SELECT rid, doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS p FROM d)),
+hits AS (
+  SELECT rid, doc_id, license, s, unnest(range(
+           greatest(0, ceil((p - w + 4) / (w / 2.0)))::BIGINT, floor((p - 1) / (w / 2.0))::BIGINT + 1)) * (w // 2) AS at
+  FROM s JOIN ts USING (s)),
+found AS (
+  SELECT rid, doc_id, license, at, count(DISTINCT s)::DOUBLE / any_value(n) AS c
+  FROM hits JOIN sizes USING (license) GROUP BY rid, doc_id, license, at HAVING c >= 0.8)
+SELECT doc_id, license, max(c) AS containment, arg_max(at, (c, -at))::INTEGER AS start_word, count(*)::BIGINT AS n_windows
+FROM found GROUP BY rid, doc_id, license"""
