@@ -113,14 +113,15 @@ def scan(docs: DataFrame, pairs: tuple[tuple[str, str], ...] = TEMPLATES, key: s
     literal = lambda values: F.array(*[F.lit(v) for v in sorted(values)]).cast("array<bigint>")
     every = literal({s for r in rows for s in r.ts})
     df = docs.select(F.col(f"`{key}`").alias("k"), word_hashes(F.col(f"`{text}`")).alias("h"))
-    df = df.select("k", shingles(F.col("h")).alias("s")).filter(F.arrays_overlap("s", every))
-    df = df.select(F.monotonically_increasing_id().alias("rid"), "k", "s")
+    df = df.select(F.monotonically_increasing_id().alias("rid"), "k", shingles(F.col("h")).alias("s"))
     cut = []
     for w in sorted({r.w for r in rows}):
         mine = [r for r in rows if r.w == w]
         starts = F.sequence(F.lit(1), F.size("s"), F.lit(w // 2))
         cut.append(F.transform(starts, _window(w, max(r.m for r in mine))))
-    df = df.select("rid", "k", F.explode(F.flatten(F.array(*cut))).alias("v"))
+    # explode drops documents without any template shingle; a filter would be pushed into the
+    # projections below and evaluate them again for every element
+    df = df.select("rid", "k", F.explode(F.when(F.arrays_overlap("s", every), F.flatten(F.array(*cut)))).alias("v"))
     df = df.select("rid", "k", "v.w", "v.m", "v.at", "v.s").filter(F.arrays_overlap("s", every))
     values = literal({b for r in rows for b in r.bands})
     df = df.withColumn("b", F.array_distinct(F.array_intersect(bands(F.col("s"), F.col("m")), values)))

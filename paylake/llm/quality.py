@@ -125,11 +125,9 @@ def measure(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     return df.select("_row", out.alias("_q"))
 
 
-def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents with columns ``_row`` (the input row) and ``_q`` (metrics and verdict)."""
-    return measure(docs, text, rules)
-
-
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass every rule, columns unchanged."""
-    return measure(docs, text, rules).filter("_q.kept").select("_row.*")
+    # explode drops the others; a filter would be pushed into the projections below and
+    # evaluate them again for every element
+    kept = measure(docs, text, rules).select(F.explode(F.when(F.col("_q.kept"), F.array("_row"))).alias("_row"))
+    return kept.select("_row.*")

@@ -417,10 +417,12 @@ def mask_spans(text: str, spans: str, mark: str = "[SECRET]") -> str:
 
 
 def redact(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with every secret replaced; null texts stay null, columns and other values unchanged."""
+    """``docs`` with every secret replaced; null texts stay null, columns and other values unchanged.
+    A column ``n_chars`` follows the new text's length."""
     sent = ship(docs.sparkSession).broadcast(model or Model.empty())
     fitted = model is not None
     place = docs.columns.index(text)
+    sizes = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(sent.value)
@@ -436,6 +438,9 @@ def redact(docs: DataFrame, model: Model | None, text: str = "text") -> DataFram
                 clean = [None if was is None else c for was, c in zip(whole[at:], clean)]
                 cols = [batch.column(i).slice(at, len(texts)) for i in range(batch.num_columns)]
                 cols[place] = pa.array(clean, batch.schema.field(place).type)
+                if sizes is not None:
+                    cols[sizes] = pa.array([c if t is None or t == w else len(t) for c, t, w in zip(
+                        cols[sizes].to_pylist(), clean, whole[at:])], batch.schema.field(sizes).type)
                 yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
                 at += len(texts)
 

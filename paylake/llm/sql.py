@@ -107,10 +107,10 @@ s AS (SELECT rid, doc_id, p, array_to_string(ws[p:p + 4], ' ') AS s
       FROM (SELECT rid, doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS p FROM d)),
 hits AS (
   SELECT rid, doc_id, license, s, unnest(range(
-           greatest(0, ceil((p - w + 4) / (w / 2.0)))::BIGINT, floor((p - 1) / (w / 2.0))::BIGINT + 1)) * (w // 2) AS at
+           greatest(0, ceil((p - w + 4) / (w / 2.0)))::BIGINT, floor((p - 1) / (w / 2.0))::BIGINT + 1)) * (w // 2) AS start
   FROM s JOIN ts USING (s)),
 found AS (
-  SELECT rid, doc_id, license, at, count(DISTINCT s)::DOUBLE / any_value(n) AS c
-  FROM hits JOIN sizes USING (license) GROUP BY rid, doc_id, license, at HAVING c >= 0.8)
-SELECT doc_id, license, max(c) AS containment, arg_max(at, (c, -at))::INTEGER AS start_word, count(*)::BIGINT AS n_windows
+  SELECT rid, doc_id, license, start, count(DISTINCT s)::DOUBLE / any_value(n) AS c
+  FROM hits JOIN sizes USING (license) GROUP BY rid, doc_id, license, start HAVING c >= 0.8)
+SELECT doc_id, license, max(c) AS containment, arg_max(start, (c, -start))::INTEGER AS start_word, count(*)::BIGINT AS n_windows
 FROM found GROUP BY rid, doc_id, license"""
