@@ -124,13 +124,15 @@ def to_topic(messages: DataFrame, partitions: int | None = None) -> DataFrame:
 def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
     """Deterministically damage some messages for dead-letter tests:
     broken JSON (a ``;`` for the first ``:``), a bare array, a type
-    mismatch, a null payload, and a message without the envelope (which is
-    valid). Every damaged message keeps its whole text."""
+    mismatch, a null payload, a message without the envelope (which is
+    valid), a NULL, empty or blank value, and objects without any field."""
     v, m = F.col("value"), id_col % 50
     return messages.withColumn("value", F.when(m == 7, F.regexp_replace(v, r'^\{"_meta":', '{"_meta";'))
                                .when(m == 11, F.lit("[1,2]"))
                                .when(m == 13, F.regexp_replace(v, r'"txn_id":[0-9]+', '"txn_id":"oops"'))
                                .when(m == 17, F.regexp_extract(v, r'"payload":(\{.*\})\}$', 1))
+                               .when(m == 19, F.lit(None).cast("string")).when(m == 21, F.lit("")).when(m == 23, F.lit("  "))
+                               .when(m == 25, F.lit("{}")).when(m == 27, F.lit('{"foo":1}')).when(m == 29, F.lit('{"payload":{}}'))
                                .when(m == 15, F.regexp_replace(v, r'"payload":\{.*\}\}$', '"payload":null}'))
                                .otherwise(v))
 
@@ -181,11 +183,19 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
               .when(~F.col("value").rlike(r"^\s*\{"), "not_an_object")
               .when(payload_v.isNotNull() & ~F.schema_of_variant(payload_v).startswith("OBJECT"), "not_an_object")
               .otherwise(F.coalesce(*mism, F.lit("corrupt_record"))))
-    err = (F.when(corrupt, reason)
+    blank = F.col("value").isNull() | ~F.col("value").rlike(r"\S")
+    err = (F.when(blank, "malformed_json").when(corrupt, reason)
            .when(no_payload & payload_v.isNotNull(), "null_payload"))
     body = F.when(~no_payload, F.col("_j.payload")).otherwise(
         F.struct(*[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields]))
     out = parsed.select(*keep, err.alias("error_msg"), body.alias("_body"))
+    # rows of NULLs alone are parsed again: good only if one of the table's fields is there
+    bare = reduce(lambda a, b: a & b, [F.col(f"_body.{f.name}").isNull() for f in schema.fields])
+    out = out.select("*", F.explode(F.array(F.when(
+        F.col("error_msg").isNull() & bare, F.try_parse_json(F.col("value"))))).alias("_q"))
+    inner = F.coalesce(F.try_variant_get("_q", "$.payload", "variant"), F.col("_q"))
+    known = reduce(lambda a, b: a | b, [F.try_variant_get(inner, f"$.{f.name}", "variant").isNotNull() for f in schema.fields])
+    out = out.withColumn("error_msg", F.when(F.col("_q").isNotNull() & ~known, "no_known_field").otherwise(F.col("error_msg")))
     return out.select(*keep, "error_msg", *[F.col(f"_body.{f.name}").alias(f.name) for f in schema.fields])
 
 
@@ -238,9 +248,9 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def latest_state(log: DataFrame) -> DataFrame:
-    """Fold a state changelog ``(key, status, offset)`` to the last status
-    per key; the completed set is those whose last status is ``completed``
-    (A8). ``max_by`` is a partial aggregate: one row per key per task."""
-    return (log.groupBy("key").agg(F.max_by("status", "offset").alias("status"),
+    """Fold a state changelog ``(key, status, offset)`` to the completed set (A8):
+    ``completed`` adds a key, ``reset`` removes it, any other status changes
+    nothing. ``max_by`` is a partial aggregate: one row per key per task."""
+    return (log.filter(F.col("status").isin("completed", "reset")).groupBy("key").agg(F.max_by("status", "offset").alias("status"),
                                    F.max("offset").alias("offset"))
                .filter(F.col("status") == "completed").select(F.col("key").alias("table_name"), "offset"))

@@ -143,7 +143,7 @@ def cdc_envelope(spark, sf):
 
 def _corrupted(w):
     """Messages as consumed from the topic, some damaged in transit."""
-    m = ingest.to_topic(ingest.envelope(w.raw.transactions, "transactions", "r", TS_MS, "txn_id"))
+    m = ingest.envelope(w.raw.transactions, "transactions", "r", TS_MS, "txn_id")
     m = m.withColumn("_id", F.coalesce(F.col("message_key").cast("bigint"), F.lit(0)))
     return ingest.corrupt(m, F.col("_id")).drop("_id")
 
@@ -156,6 +156,12 @@ register("dlq_input", ["cdc_messages"], """
            WHEN COALESCE(_id, 0) % 50 = 11 THEN '[1,2]'
            WHEN COALESCE(_id, 0) % 50 = 13 THEN regexp_replace(value, '"txn_id":[0-9]+', '"txn_id":"oops"')
            WHEN COALESCE(_id, 0) % 50 = 17 THEN regexp_extract(value, '"payload":(\\{.*\\})\\}$', 1)
+           WHEN COALESCE(_id, 0) % 50 = 19 THEN NULL
+           WHEN COALESCE(_id, 0) % 50 = 21 THEN ''
+           WHEN COALESCE(_id, 0) % 50 = 23 THEN '  '
+           WHEN COALESCE(_id, 0) % 50 = 25 THEN '{}'
+           WHEN COALESCE(_id, 0) % 50 = 27 THEN '{"foo":1}'
+           WHEN COALESCE(_id, 0) % 50 = 29 THEN '{"payload":{}}'
            WHEN COALESCE(_id, 0) % 50 = 15 THEN regexp_replace(value, '"payload":\\{.*\\}\\}$', '"payload":null}')
            ELSE value END AS value
     FROM cdc_messages)""")
@@ -172,6 +178,7 @@ def _decode_sql() -> str:
         f"WHEN json_exists(body, '$.{f.name}') AND json_type(body, '$.{f.name}') <> 'NULL' "
         f"AND TRY_CAST(json_extract_string(body, '$.{f.name}') AS {_duck_type(f.dataType.simpleString())}) IS NULL "
         f"THEN 'type_mismatch:{f.name}'" for f in fields)
+    unknown = " AND ".join(f"NOT json_exists(body, '$.{f.name}')" for f in fields)
     typed = ", ".join(
         f"TRY_CAST(json_extract_string(body, '$.{f.name}') AS {_duck_type(f.dataType.simpleString())}) AS {f.name}"
         for f in fields)
@@ -189,6 +196,7 @@ def _decode_sql() -> str:
            WHEN json_type(j) <> 'OBJECT' THEN 'not_an_object'
            WHEN has_payload AND json_type(j, '$.payload') = 'NULL' THEN 'null_payload'
            WHEN json_type(body) <> 'OBJECT' THEN 'not_an_object'
+           WHEN {unknown} THEN 'no_known_field'
            {mism}
            END AS error_msg,
       {typed}

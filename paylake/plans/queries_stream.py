@@ -1,6 +1,6 @@
 """Queries with side effects on storage: raw zone, ledger load and the
-streaming jobs. Their results depend on file layout, so they carry a
-rows-only check (no SQL oracle); tests compare them with the batch path.
+streaming jobs. Results are rows per table and day or rows themselves, never file names or
+counts, so that SQL can state them.
 
 Every call works in a fresh folder under the session's shared checkpoint
 directory (``spark.checkpoint.dir``).
@@ -12,9 +12,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from paylake import schemas as S
+from paylake.operators import ingest
 from paylake.plans.catalog import query, warehouse
 from paylake.plans.oracle_base import with_ctes
-from paylake.plans.queries_ops import TXN_COLS, _corrupted
+from paylake.plans.queries_ops import TS_MS, TXN_COLS, _corrupted
 from paylake.session import shared_dir
 from paylake.sources import raw_zone
 from paylake.streaming import landing
@@ -51,20 +52,33 @@ def raw_zone_write(spark, sf):
                  .agg(F.count("*").alias("n_rows")))
 
 
-@query("raw_file_listing")
+_LANDED_ROWS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, DATE '2026-01-01' AS landing_day, COUNT(*) AS n_rows FROM raw_{t}" for t in LANDED)
+
+
+def _rows_by_day(listing, rows):
+    """Rows per table and landing day of the listed files (rows counted by file)."""
+    by_file = rows.select(F.col("_metadata.file_path").alias("file_path")).groupBy("file_path").agg(F.count("*").alias("n"))
+    return (listing.join(by_file, "file_path")
+            .groupBy("table_name", raw_zone.landing_day(F.col("file_path")).alias("landing_day"))
+            .agg(F.sum("n").alias("n_rows")))
+
+
+@query("raw_file_listing", with_ctes(["raw_" + t for t in LANDED], _LANDED_ROWS))
 def raw_file_listing(spark, sf):
+    """Every landed file is listed: rows per table and landing day of the listed files."""
     root = _scratch(spark, "raw")
     _write_zone(spark, sf, root)
-    return raw_zone.list_files(spark, root)
+    return _rows_by_day(raw_zone.list_files(spark, root), spark.read.parquet(root))
 
 
-@query("ingest_metrics")
+@query("ingest_metrics", with_ctes(["raw_" + t for t in LANDED], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM raw_{t}" for t in LANDED)))
 def ingest_metrics(spark, sf):
-    """Rows and files per landed table (A5)."""
+    """Rows per landed table (A5)."""
     root = _scratch(spark, "raw")
     _write_zone(spark, sf, root)
-    return (spark.read.parquet(root).select("table_name", F.col("_metadata.file_path").alias("f"))
-                 .groupBy("table_name").agg(F.count("*").alias("n_rows"), F.countDistinct("f").alias("n_files")))
+    return spark.read.parquet(root).groupBy("table_name").agg(F.count("*").alias("n_rows"))
 
 
 @query("ledger_load", with_ctes(["raw_transactions"],
@@ -82,19 +96,23 @@ def ledger_load(spark, sf):
     return spark.read.parquet(target).drop("source_file", "load")
 
 
-@query("unprocessed_files")
+@query("unprocessed_files", with_ctes(["raw_transactions"], """
+SELECT 'transactions' AS table_name, DATE '2026-01-02' AS landing_day, COUNT(*) AS n_rows FROM raw_transactions
+WHERE created_at IS NULL OR created_at >= TIMESTAMP '2025-07-01 00:00:00'"""))
 def unprocessed_files(spark, sf):
     """Files landed after the last load are the next run's work."""
     root = _scratch(spark, "raw")
     raw = warehouse(spark, sf).raw
-    early = raw.transactions.filter(F.col("created_at") < F.lit("2025-07-01").cast("timestamp_ntz"))
+    is_late = F.coalesce(F.col("created_at") >= F.lit("2025-07-01").cast("timestamp_ntz"), F.lit(True))
+    early = raw.transactions.filter(~is_late)
     raw_zone.write_raw(early, root, "transactions", _landed_at(RUN_1))
     ledger, target = root + "_ledger", root + "_wh"
     raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00",
                          schema=raw.transactions.schema)
-    late = raw.transactions.filter(F.col("created_at") >= F.lit("2025-07-01").cast("timestamp_ntz"))
+    late = raw.transactions.filter(is_late)
     raw_zone.write_raw(late, root, "transactions", _landed_at(RUN_2))
-    return raw_zone.unprocessed(raw_zone.list_files(spark, root), raw_zone.read_ledger(spark, ledger))
+    todo = raw_zone.unprocessed(raw_zone.list_files(spark, root), raw_zone.read_ledger(spark, ledger))
+    return _rows_by_day(todo, spark.read.parquet(root))
 
 
 def _land(spark, sf):
@@ -102,7 +120,7 @@ def _land(spark, sf):
     base = _scratch(spark, "landing")
     src, raw_root, dlq = base + "/in", base + "/raw", base + "/dlq"
     landing.publish(_corrupted(w), src)
-    q = landing.start_landing(spark, src, raw_root, dlq, base + "/ckpt", S.RAW_SCHEMAS["transactions"])
+    q = landing.start_landing(spark, src, raw_root, dlq, base + "/ckpt", {"transactions": S.RAW_SCHEMAS["transactions"]})
     q.awaitTermination()
     return base, raw_root, dlq
 
@@ -117,9 +135,26 @@ def landing_stream(spark, sf):
     return spark.read.parquet(raw_root).drop("year", "month", "day", "batch")
 
 
+LAND_ALL = [t for t, _, _, _ in S.TABLE_CATALOGUE]
+
+
+@query("landing_tables", with_ctes(["raw_" + t for t in LAND_ALL if t != "settlement_batches"] + ["settlement_batches"], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {'' if t == 'settlement_batches' else 'raw_'}{t}" for t in LAND_ALL)))
+def landing_tables(spark, sf):
+    """All tables' messages through the landing stream: rows landed per table."""
+    w = warehouse(spark, sf)
+    base = _scratch(spark, "landing")
+    for t, _, _, key in S.TABLE_CATALOGUE:
+        df = w.settlement_batches if t == "settlement_batches" else getattr(w.raw, t)
+        key = key if key in df.columns else df.columns[0]
+        landing.publish(ingest.envelope(df, t, "r", TS_MS, key), base + "/in")
+    landing.start_landing(spark, base + "/in", base + "/raw", base + "/dlq", base + "/ckpt", S.RAW_SCHEMAS).awaitTermination()
+    return spark.read.option("mergeSchema", "false").parquet(base + "/raw").groupBy("table_name").agg(F.count("*").alias("n_rows"))
+
+
 @query("stream_dedup", with_ctes(["dlq_decoded"], """
 SELECT DISTINCT txn_id FROM dlq_decoded
-WHERE error_msg IS NULL AND txn_id IS NOT NULL AND created_at IS NOT NULL"""))
+WHERE error_msg IS NULL AND txn_id IS NOT NULL"""))
 def stream_dedup(spark, sf):
     """Keyed stream dedup of the landed rows; which copy of a duplicated key
     survives depends on arrival, so the result is the surviving key set."""

@@ -18,7 +18,7 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Broadcast only what the planner can prove small; dimension joins in
-    # this package add explicit hints after a size check (see plans.sizing).
+    # this package add explicit hints only for fixed lookups.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # AQE coalesces small shuffle partitions towards this size and splits
     # skewed ones above the skew threshold
@@ -76,6 +76,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="paylake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     sc = spark.sparkContext

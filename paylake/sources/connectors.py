@@ -36,12 +36,15 @@ def jdbc_write_options(url: str, table: str, batch_size: int = 1000) -> dict[str
 
 
 def kafka_source_options(brokers: str, topic_pattern: str = r"pg\.(?!__).*",
-                         max_offsets_per_trigger: int = 500, starting: str = "earliest") -> dict[str, str]:
+                         max_offsets_per_trigger: int | None = None, starting: str = "earliest") -> dict[str, str]:
     """Subscribe to every data topic by pattern from the earliest offset
-    (S6, S7); internal ``pg.__*`` topics are excluded (D11)."""
-    return {"kafka.bootstrap.servers": brokers, "subscribePattern": topic_pattern,
-            "startingOffsets": starting, "maxOffsetsPerTrigger": str(max_offsets_per_trigger),
-            "failOnDataLoss": "false"}
+    (S6, S7); internal ``pg.__*`` topics are excluded (D11). No cap on a
+    trigger's size unless one is given; lost offsets fail the query."""
+    opts = {"kafka.bootstrap.servers": brokers, "subscribePattern": topic_pattern,
+            "startingOffsets": starting, "failOnDataLoss": "true"}
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return opts
 
 
 def kafka_sink_options(brokers: str) -> dict[str, str]:
