@@ -9,6 +9,7 @@ from paylake import schemas as S
 from paylake.functions import clean_code, latest_per_key
 
 APPROVED_CODES = ("APPROVED", "SETTLED")
+REVERSED = 4
 
 
 def current_transactions(raw_txn: DataFrame) -> DataFrame:
@@ -47,19 +48,23 @@ def settlement_batches(current: DataFrame, statuses: DataFrame, as_of: str = S.C
         F.lit("USD").alias("currency"),
         F.when(settled, "SETTLED").otherwise("PENDING").alias("status"),
         F.when(settled, F.timestamp_add("HOUR", F.lit(22), F.col("batch_date").cast("timestamp_ntz")))
-         .alias("settled_at"))
+         .alias("settled_at"),
+        F.timestamp_add("HOUR", F.lit(24), F.col("batch_date").cast("timestamp_ntz")).alias("created_at"))
 
 
 def refund_net(refunds: DataFrame, current: DataFrame) -> DataFrame:
-    """Refunds joined to their original transaction: full or partial, the
-    net kept after the refund, and hours to resolve (J6, R10)."""
+    """Refunds joined to their original transaction: full or partial, the net kept
+    after all of its refunds, and hours to resolve (J6, R10). Reversed refunds (status 4)
+    take nothing from the net; the other refunds of one transaction are summed first."""
     r = latest_per_key(refunds, ["refund_id"], [F.col("created_at").desc_nulls_first()])
+    counts = F.when(F.coalesce("status_id", F.lit(0)) != REVERSED, F.coalesce("amount", F.lit(0))).otherwise(0)
+    r = r.withColumn("refunded", F.sum(counts).over(Window.partitionBy("original_txn_id")).cast("decimal(14,2)"))
     t = current.select(F.col("txn_id").alias("original_txn_id"), F.abs("amount").alias("original_amount"))
     j = r.join(t, "original_txn_id")
     return j.select(
         "refund_id", "original_txn_id", F.col("amount").alias("refund_amount"), "original_amount",
         F.when(F.col("amount") < F.col("original_amount"), "partial").otherwise("full").alias("refund_type"),
-        (F.col("original_amount") - F.col("amount")).alias("net_after_refund"),
+        (F.col("original_amount") - F.col("refunded")).alias("net_after_refund"),
         F.timestamp_diff("HOUR", F.col("initiated_at"), F.col("resolved_at")).alias("hours_to_resolve"))
 
 
@@ -102,7 +107,7 @@ def star_sales(daily: DataFrame, dim_merchants: DataFrame, dim_date: DataFrame)
     """Daily merchant sales with merchant and calendar attributes.
 
     Left joins keep every fact row; null keys were mapped to -1 and meet the
-    unknown member. The merchant dimension is deduplicated first so repeated
+    unknown member, and so do keys that the dimension does not have. The merchant dimension is deduplicated first so repeated
     merchant rows cannot multiply facts. Both dimensions grow with the data
     (merchants, days of the span), so neither carries a broadcast hint: AQE
     broadcasts a side only after measuring it under the threshold."""
@@ -110,7 +115,9 @@ def star_sales(daily: DataFrame, dim_merchants: DataFrame, dim_date: DataFrame)
         "merchant_id", "merchant_name", "merchant_category_group")
     d = dim_date.select(F.col("date_key").alias("transaction_date"), "day_type", "month_name", "quarter")
     return (daily.join(m, "merchant_id", "left").join(d, "transaction_date", "left")
-                 .select("transaction_date", "merchant_id", "merchant_name", "merchant_category_group",
+                 .select("transaction_date", "merchant_id",
+                         F.coalesce("merchant_name", F.lit("Unknown Merchant")).alias("merchant_name"),
+                         F.coalesce("merchant_category_group", F.lit("OTHER")).alias("merchant_category_group"),
                          "day_type", "month_name", "quarter", "currency", "total_transaction_count",
                          "daily_total_amount"))
 
@@ -127,22 +134,21 @@ def merchant_from_terminal(current: DataFrame, terminals: DataFrame) -> DataFram
     """The merchant of a transaction is its terminal's merchant; without a
     terminal, its own merchant id (J3)."""
     pos = terminals.select("pos_id", F.col("merchant_id").alias("terminal_merchant_id"))
-    return (current.select("txn_id", "pos_id", "merchant_id").join(pos, "pos_id", "left")
-                   .select("txn_id", "pos_id", "merchant_id",
-                           F.coalesce("terminal_merchant_id", "merchant_id").alias("resolved_merchant_id")))
+    rows = current.select("txn_id", "pos_id", "merchant_id")
+    # without a terminal there is nothing to join: such rows (a third of all) stay out of the shuffle
+    away = rows.filter(F.col("pos_id").isNull()).withColumn("terminal_merchant_id", F.lit(None).cast("bigint"))
+    found = rows.filter(F.col("pos_id").isNotNull()).join(pos, "pos_id", "left").select(away.columns)
+    return found.unionByName(away).select("txn_id", "pos_id", "merchant_id",
+                                          F.coalesce("terminal_merchant_id", "merchant_id").alias("resolved_merchant_id"))
 
 
-def cards_per_client(cards: DataFrame, max_list: int = 1000) -> DataFrame:
-    """Card ids per client (A4), as sorted lists of at most about
-    ``max_list`` ids: a client with more cards gets several chunks (ids
-    spread by hash), so no group ever collects an unbounded list. Ordinary
-    clients have one chunk, ``chunk = 0``."""
+def cards_per_client(cards: DataFrame) -> DataFrame:
+    """Every client's cards (A4), one row each with the client's number of cards: the
+    same shape for any number of cards, and no list that grows with a client."""
     n = cards.groupBy("client_id").agg(F.count("*").alias("n_cards"))
-    parts = F.ceil(F.col("n_cards") / F.lit(max_list)).cast("int")
-    tagged = cards.select("client_id", "card_id").join(n, "client_id").withColumn(
-        "chunk", F.pmod(F.xxhash64("card_id"), parts).cast("int"))
-    return (tagged.groupBy("client_id", "chunk", "n_cards")
-                  .agg(F.sort_array(F.collect_list("card_id")).alias("card_ids")))
+    n = n.withColumnRenamed("client_id", "_client")
+    return (cards.select("client_id", "card_id").join(n, F.col("client_id").eqNullSafe(F.col("_client")))
+                 .select("client_id", "card_id", "n_cards"))
 
 
 def event_rates(live: DataFrame, every: str = "1 hour") -> DataFrame:

@@ -124,7 +124,7 @@ class Operations(Warehouse):
     @cached_property
     def settlement_batches(self) -> DataFrame:
         from paylake.operators.recon import settlement_batches
-        return settlement_batches(self.current_transactions, self.raw.transaction_statuses)
+        return settlement_batches(self.current_transactions, self.raw.status_lookup)
 
     def bucket_by_txn(self, root: str, buckets: int, prefix: str = "paylake") -> dict[str, DataFrame]:
         """Write current transactions, refunds and alerts as tables bucketed

@@ -75,9 +75,9 @@ CTES["raw_transactions"] = ([], f"""
       'TXN-' || CAST(ok AS VARCHAR) || '-' || CAST(ln AS VARCHAR) AS reference,
       CASE WHEN ok % 31 = 0 THEN NULL ELSE o_custkey END AS client_id,
       o_custkey * 3 + ln % (o_custkey % 3 + 1) AS card_id,
-      CASE WHEN ok % 10 < 7 AND pk % 53 = 0 THEN (l_suppkey % 10) * 3 + ln % 3 + 900000000
-           WHEN ok % 10 < 7 THEN (l_suppkey % 10) * 3 + ln % 3 END AS pos_id,
-      CASE WHEN NOT (ok % 10 < 7) AND pk % 17 = 0 THEN NULL ELSE l_suppkey % 10 END AS merchant_id,
+      CASE WHEN ok % 10 < 7 AND pk % 53 = 0 THEN l_suppkey * 3 + ln % 3 + 900000000
+           WHEN ok % 10 < 7 THEN l_suppkey * 3 + ln % 3 END AS pos_id,
+      CASE WHEN NOT (ok % 10 < 7) AND pk % 17 = 0 THEN NULL ELSE l_suppkey END AS merchant_id,
       CAST(pk % 7 + 1 AS INTEGER) AS type_id,
       status_id,
       CAST(amt AS DECIMAL(14,2)) AS amount,

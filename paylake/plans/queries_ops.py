@@ -24,6 +24,23 @@ register("current_status", ["current_transactions", "raw_transaction_statuses"],
     LEFT JOIN raw_transaction_statuses s ON t.status_id = s.status_id)""")
 
 
+register("settlement_batches", ["current_status"], f"""
+  sb_g AS (
+    SELECT merchant_id, CAST(initiated_at AS DATE) AS batch_date, COUNT(*) AS txn_count,
+      CAST(SUM(ABS(amount)) AS DECIMAL(16,2)) AS gross_amount, CAST(SUM(fee) AS DECIMAL(14,2)) AS total_fees
+    FROM current_status WHERE status_code IN ('APPROVED','SETTLED') AND merchant_id IS NOT NULL
+      AND initiated_at IS NOT NULL GROUP BY 1, 2),
+  settlement_batches AS (
+    SELECT merchant_id * 100000 + date_diff('day', DATE '2000-01-01', batch_date) AS batch_id,
+      merchant_id, batch_date, txn_count, gross_amount, total_fees,
+      CAST(gross_amount - total_fees AS DECIMAL(16,2)) AS net_payout, 'USD' AS currency,
+      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2 THEN 'SETTLED' ELSE 'PENDING' END AS status,
+      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2
+           THEN CAST(batch_date AS TIMESTAMP) + INTERVAL 22 HOUR END AS settled_at,
+      CAST(batch_date AS TIMESTAMP) + INTERVAL 24 HOUR AS created_at
+    FROM sb_g)""")
+
+
 def _w(spark, sf):
     return warehouse(spark, sf)
 
@@ -43,14 +60,15 @@ _COUNT_TABLES = ["countries", "transaction_types", "transaction_statuses", "card
 
 
 @query("table_row_counts", with_ctes(
-    ["raw_" + t for t in _COUNT_TABLES],
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}"
-                       for t in _COUNT_TABLES)))
+    ["raw_" + t for t in _COUNT_TABLES] + ["settlement_batches"],
+    " UNION ALL ".join([f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in _COUNT_TABLES]
+                       + ["SELECT 'settlement_batches', COUNT(*) FROM settlement_batches"])))
 def table_row_counts(spark, sf):
-    raw = _w(spark, sf).raw
+    w = _w(spark, sf)
+    tables = {t: getattr(w.raw, t) for t in _COUNT_TABLES} | {"settlement_batches": w.settlement_batches}
     return reduce(lambda a, b: a.unionByName(b), [
-        getattr(raw, t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-        for t in _COUNT_TABLES])
+        df.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+        for t, df in tables.items()])
 
 
 @query("incremental_extract", with_ctes(["raw_transactions"], f"""
@@ -60,17 +78,19 @@ def incremental_extract(spark, sf):
 
 
 _WM_TABLES = [(t, wm) for t, wm, _, _ in S.TABLE_CATALOGUE
-              if wm is not None and t not in ("settlement_batches",)]
+              if wm is not None]
+_STORED = {t: t if t == "settlement_batches" else "raw_" + t for t, _ in _WM_TABLES}
 
 
-@query("next_watermark", with_ctes(["raw_" + t for t, _ in _WM_TABLES], " UNION ALL ".join(
+@query("next_watermark", with_ctes(list(_STORED.values()), " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COALESCE(MAX({wm}), TIMESTAMP '{CUTOFF}') AS watermark, "
-    f"MAX({wm}) IS NOT NULL AS advanced FROM raw_{t} WHERE {wm} > TIMESTAMP '{CUTOFF}'"
+    f"MAX({wm}) IS NOT NULL AS advanced FROM {_STORED[t]} WHERE {wm} > TIMESTAMP '{CUTOFF}'"
     for t, wm in _WM_TABLES)))
 def next_watermark(spark, sf):
-    raw = _w(spark, sf).raw
+    w = _w(spark, sf)
     return reduce(lambda a, b: a.unionByName(b), [
-        ingest.next_watermark(getattr(raw, t), t, wm, CUTOFF) for t, wm in _WM_TABLES])
+        ingest.next_watermark(w.settlement_batches if t == "settlement_batches" else getattr(w.raw, t), t, wm, CUTOFF)
+        for t, wm in _WM_TABLES])
 
 
 @query("hybrid_load", with_ctes(["raw_transactions"], f"""
@@ -100,7 +120,7 @@ WHERE status_code = 'APPROVED'
 def hash_sample(spark, sf):
     """About 5 % of approved transactions, the same ones on every run."""
     w = _w(spark, sf)
-    ok = recon.with_status(w.current_transactions, w.raw.transaction_statuses) \
+    ok = recon.with_status(w.current_transactions, w.raw.status_lookup) \
         .filter(F.col("status_code") == "APPROVED").select("txn_id", "amount")
     return ingest.hash_sample(ok, "txn_id", 0.05)
 
@@ -281,9 +301,7 @@ def _state_log(w):
     raw = w.raw
     parts = []
     for i, (t, wm, _, _) in enumerate(S.TABLE_CATALOGUE):
-        if t == "settlement_batches":
-            continue
-        df = getattr(raw, t)
+        df = w.settlement_batches if t == "settlement_batches" else getattr(raw, t)
         parts.append(df.agg(F.count("*").alias("rows")).select(
             F.lit(t).alias("key"), F.lit("completed").alias("status"), F.lit(i).alias("offset"), "rows"))
         if wm is not None:
@@ -296,12 +314,11 @@ def _state_log(w):
 def _state_log_sql() -> tuple[list[str], str]:
     deps, parts = [], []
     for i, (t, wm, _, _) in enumerate(S.TABLE_CATALOGUE):
-        if t == "settlement_batches":
-            continue
-        deps.append("raw_" + t)
+        table = t if t == "settlement_batches" else "raw_" + t
+        deps.append(table)
         parts.append(f"SELECT '{t}' AS key, 'completed' AS status, {i} AS off")
         if wm is not None:
-            parts.append(f"SELECT '{t}', 'reset', {100 + i} FROM raw_{t} WHERE {wm} > TIMESTAMP '{CUTOFF}' "
+            parts.append(f"SELECT '{t}', 'reset', {100 + i} FROM {table} WHERE {wm} > TIMESTAMP '{CUTOFF}' "
                          f"HAVING COUNT(*) > 0")
     return deps, "\n  state_log AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -323,7 +340,7 @@ def pending_tables(spark, sf):
     """Catalogue tables whose full load is not (or no longer) complete."""
     w = _w(spark, sf)
     done = ingest.latest_state(_state_log(w))
-    catalogue = spark.createDataFrame([(t,) for t, _, _, _ in S.TABLE_CATALOGUE if t != "settlement_batches"],
+    catalogue = spark.createDataFrame([(t,) for t, _, _, _ in S.TABLE_CATALOGUE],
                                       "table_name string")
     return catalogue.join(done, "table_name", "left_anti")
 
@@ -417,22 +434,6 @@ def _fk_sql() -> tuple[list[str], str]:
     return sorted(deps), " UNION ALL ".join(parts)
 
 
-register("settlement_batches", ["current_status"], f"""
-  sb_g AS (
-    SELECT merchant_id, CAST(initiated_at AS DATE) AS batch_date, COUNT(*) AS txn_count,
-      CAST(SUM(ABS(amount)) AS DECIMAL(16,2)) AS gross_amount, CAST(SUM(fee) AS DECIMAL(14,2)) AS total_fees
-    FROM current_status WHERE status_code IN ('APPROVED','SETTLED') AND merchant_id IS NOT NULL
-      AND initiated_at IS NOT NULL GROUP BY 1, 2),
-  settlement_batches AS (
-    SELECT merchant_id * 100000 + date_diff('day', DATE '2000-01-01', batch_date) AS batch_id,
-      merchant_id, batch_date, txn_count, gross_amount, total_fees,
-      CAST(gross_amount - total_fees AS DECIMAL(16,2)) AS net_payout, 'USD' AS currency,
-      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2 THEN 'SETTLED' ELSE 'PENDING' END AS status,
-      CASE WHEN date_diff('day', batch_date, DATE '{S.CALENDAR_END}') > 2
-           THEN CAST(batch_date AS TIMESTAMP) + INTERVAL 22 HOUR END AS settled_at
-    FROM sb_g)""")
-
-
 def _dq_report_sql() -> str:
     parts = []
     for m, k in _STAGING_KEYS:
@@ -557,9 +558,11 @@ register("refunds_latest", ["raw_refunds"], latest_sql(
 @query("refund_net", with_ctes(["refunds_latest", "current_transactions"], """
 SELECT r.refund_id, r.original_txn_id, r.amount AS refund_amount, ABS(t.amount) AS original_amount,
   CASE WHEN r.amount < ABS(t.amount) THEN 'partial' ELSE 'full' END AS refund_type,
-  ABS(t.amount) - r.amount AS net_after_refund,
+  ABS(t.amount) - CAST(r.refunded AS DECIMAL(14,2)) AS net_after_refund,
   date_diff('hour', r.initiated_at, r.resolved_at) AS hours_to_resolve
-FROM refunds_latest r JOIN current_transactions t ON r.original_txn_id = t.txn_id"""))
+FROM (SELECT *, SUM(CASE WHEN status_id IS DISTINCT FROM 4 THEN COALESCE(amount, 0) ELSE 0 END)
+             OVER (PARTITION BY original_txn_id) AS refunded FROM refunds_latest) r
+JOIN current_transactions t ON r.original_txn_id = t.txn_id"""))
 def refund_net(spark, sf):
     w = _w(spark, sf)
     return recon.refund_net(w.raw.refunds, w.current_transactions)
@@ -574,7 +577,7 @@ FROM current_status WHERE status_code IN ('APPROVED','SETTLED') AND initiated_at
 GROUP BY 1, 2, 3"""))
 def approved_sales(spark, sf):
     w = _w(spark, sf)
-    return recon.approved_sales(w.current_transactions, w.raw.transaction_statuses)
+    return recon.approved_sales(w.current_transactions, w.raw.status_lookup)
 
 
 @query("status_mix", with_ctes(["current_status"], """, mx AS (
@@ -585,7 +588,7 @@ SELECT dimension, value, n, CAST(floor(n * 10000 / SUM(n) OVER (PARTITION BY dim
 FROM mx"""))
 def status_mix(spark, sf):
     w = _w(spark, sf)
-    return recon.mix(w.current_transactions, w.raw.transaction_statuses)
+    return recon.mix(w.current_transactions, w.raw.status_lookup)
 
 
 register("dim_merchants_one", ["dim_merchants"], latest_sql(
@@ -595,7 +598,8 @@ register("dim_merchants_one", ["dim_merchants"], latest_sql(
 
 
 @query("star_sales", with_ctes(["fct_daily_merchant_sales", "dim_merchants_one", "dim_date"], """
-SELECT f.transaction_date, f.merchant_id, m.merchant_name, m.merchant_category_group, d.day_type,
+SELECT f.transaction_date, f.merchant_id, COALESCE(m.merchant_name, 'Unknown Merchant') AS merchant_name,
+  COALESCE(m.merchant_category_group, 'OTHER') AS merchant_category_group, d.day_type,
   d.month_name, d.quarter, f.currency, f.total_transaction_count, f.daily_total_amount
 FROM fct_daily_merchant_sales f
 LEFT JOIN dim_merchants_one m ON f.merchant_id = m.merchant_id
@@ -625,12 +629,11 @@ def merchant_from_terminal(spark, sf):
 SELECT txn_id, status_id, status_code FROM current_status"""))
 def status_lookup(spark, sf):
     w = _w(spark, sf)
-    return recon.with_status(w.current_transactions.select("txn_id", "status_id"), w.raw.transaction_statuses)
+    return recon.with_status(w.current_transactions.select("txn_id", "status_id"), w.raw.status_lookup)
 
 
 @query("cards_per_client", with_ctes(["raw_payment_cards"], """
-SELECT client_id, 0 AS chunk, COUNT(*) AS n_cards, list_sort(list(card_id)) AS card_ids
-FROM raw_payment_cards GROUP BY 1"""))
+SELECT client_id, card_id, COUNT(*) OVER (PARTITION BY client_id) AS n_cards FROM raw_payment_cards"""))
 def cards_per_client(spark, sf):
     return recon.cards_per_client(_w(spark, sf).raw.payment_cards)
 
@@ -685,7 +688,7 @@ def _range_count(width_s: int, where: str = "TRUE", extra: str = "") -> str:
   lw AS (
     SELECT *, COUNT(*) OVER (PARTITION BY client_id ORDER BY epoch_us(initiated_at)
                              RANGE BETWEEN {width_s * 1_000_000} PRECEDING AND CURRENT ROW) AS n_in_window{extra}
-    FROM live_transactions WHERE {where})"""
+    FROM live_transactions WHERE client_id IS NOT NULL AND ({where}))"""
 
 
 @query("fraud_velocity_burst", with_ctes(["live_transactions"], "," + _range_count(600) + """

@@ -76,7 +76,7 @@ class RawTables:
         ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
         k = ok * 10 + ln
         has_pos = (ok % 10) < 7
-        merchant = F.col("l_suppkey") % 10
+        merchant = F.col("l_suppkey")
         amount0 = (F.col("l_extendedprice").cast("decimal(14,2)")
                    * F.lit(0.04).cast("decimal(3,2)")).cast("decimal(14,2)")
         cur0 = (F.when(F.col("l_returnflag") == "A", "USD")
@@ -241,6 +241,11 @@ class RawTables:
     def _lookup(self, rows, schema) -> DataFrame:
         return self.spark.createDataFrame(rows, schema)
 
+    @cached_property
+    def status_lookup(self) -> DataFrame:
+        """All fixed status rows, for joins; ``transaction_statuses`` lists those in use."""
+        return self._lookup(S.TRANSACTION_STATUSES, "status_id int, code string, label string")
+
     @cached_property
     def transaction_statuses(self) -> DataFrame:
         lk = self._lookup(S.TRANSACTION_STATUSES, "status_id int, code string, label string")

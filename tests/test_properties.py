@@ -1,5 +1,6 @@
 """Properties, ingest fixtures, skew-safe windows and plan checks."""
 import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import Window
@@ -83,17 +84,29 @@ def test_incremental_inclusive_keeps_same_second(spark):
 
 
 def test_trailing_window_equals_plain_window_on_skew(spark):
-    """One hot client with a third of the rows, across bucket edges."""
+    """One hot client with a third of the rows, across bucket edges, with ties and rows
+    exactly one width apart; rows without a client are set aside."""
     rows = []
     for i in range(900):
-        rows.append((i, 0 if i % 3 == 0 else i % 17, dt.datetime(2025, 1, 1) + dt.timedelta(seconds=37 * i)))
-    df = spark.createDataFrame(rows, "txn_id long, client_id long, initiated_at timestamp_ntz")
-    got = fraud.trailing_window(df, "client_id", "initiated_at", 600,
-                                lambda w: {"n": F.count("*").over(w)}, bucket_s=900)
+        rows.append((i, 0 if i % 3 == 0 else None if i % 50 == 1 else i % 17, "abcd"[i * i % 4] if i % 11 else None,
+                     dt.datetime(2025, 1, 1) + dt.timedelta(seconds=60 * (i // 3))))
+    df = spark.createDataFrame(rows, "txn_id long, client_id long, currency string, initiated_at timestamp_ntz")
+    got = fraud.trailing_window(df, "client_id", "initiated_at", 600, distinct="currency", bucket_s=900)
     us = fraud.event_micros(F.col("initiated_at"))
     w = Window.partitionBy("client_id").orderBy(us).rangeBetween(-600_000_000, 0)
-    want = df.withColumn("n", F.count("*").over(w))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    want = df.filter("client_id is not null").select(
+        "*", F.count("*").over(w).alias("n_in_window"), F.size(F.collect_set("currency").over(w)).alias("n_distinct"))
+    assert got.select(want.columns).exceptAll(want).count() == 0 and want.exceptAll(got.select(want.columns)).count() == 0
+
+
+def test_dense_burst_of_one_client_is_linear(spark):
+    """200,000 rows of one client within 500 seconds: every row counts all before it."""
+    df = spark.range(200_000).select(
+        F.col("id").alias("txn_id"), F.lit(7).cast("long").alias("client_id"),
+        F.timestamp_micros(F.lit(1735689600000000) + F.col("id") * 2500).cast("timestamp_ntz").alias("initiated_at"))
+    t0 = time.time()
+    assert fraud.velocity_burst(df).agg(F.sum("n_in_window")).first()[0] == 200_000 * 200_001 // 2 - 10
+    assert time.time() - t0 < 60
 
 
 def test_no_python_udf_in_plans(spark):
@@ -148,15 +161,14 @@ def test_shared_dir_respects_session_setting(spark):
     assert p.startswith(base.rstrip("/"))
 
 
-def test_card_lists_are_chunked_for_a_hot_client(spark):
+def test_cards_of_a_hot_client_have_the_same_shape(spark):
     from paylake.operators.recon import cards_per_client
     cards = spark.range(5000).select(F.lit(7).cast("long").alias("client_id"), F.col("id").alias("card_id")) \
         .unionByName(spark.range(3).select(F.lit(8).cast("long").alias("client_id"), F.col("id").alias("card_id")))
-    out = cards_per_client(cards, max_list=1000).collect()
-    hot = [r for r in out if r.client_id == 7]
-    assert len(hot) == 5 and max(len(r.card_ids) for r in hot) < 1400
-    assert sorted(c for r in hot for c in r.card_ids) == list(range(5000))
-    assert [(r.chunk, r.card_ids) for r in out if r.client_id == 8] == [(0, [0, 1, 2])]
+    out = cards_per_client(cards).collect()
+    assert sorted(r.card_id for r in out if r.client_id == 7) == list(range(5000))
+    assert {r.n_cards for r in out if r.client_id == 7} == {5000}
+    assert [(r.card_id, r.n_cards) for r in sorted(out) if r.client_id == 8] == [(0, 3), (1, 3), (2, 3)]
 
 
 def test_poll_with_persisted_watermark(spark):
