@@ -72,7 +72,7 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, labels))
 
 
-@query("op6_relative_lz")
+@query("op6_relative_lz", sql.REPEATS)
 def op6_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.relative_lz import remove_repeats

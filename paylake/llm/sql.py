@@ -114,3 +114,20 @@ found AS (
   FROM hits JOIN sizes USING (license) GROUP BY rid, doc_id, license, start HAVING c >= 0.8)
 SELECT doc_id, license, max(c) AS containment, arg_max(start, (c, -start))::INTEGER AS start_word, count(*)::BIGINT AS n_windows
 FROM found GROUP BY rid, doc_id, license"""
+
+
+REPEATS = r"""WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+windows AS (
+  SELECT rid, i, md5(array_to_string(ws[i:i + 34], ' ')) AS k
+  FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 33, 1))) AS i FROM d)),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 35)) AS j
+  FROM (SELECT rid, i, count(*) OVER (PARTITION BY k) AS c FROM windows) WHERE c > 1),
+removed AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY j) AS line
+  FROM (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d) ANTI JOIN gone USING (rid, j) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (rid) LEFT JOIN kept USING (rid)"""
