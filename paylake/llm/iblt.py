@@ -2,7 +2,7 @@
 
 A text's paragraphs are its lines, long ones cut every 160 code points; each distinct
 one gives a 64-bit digest. The digests fall by their leading bits into groups of
-about eight, and every group is a small table of cells (count, xor of digests, xor
+about four, and every group is a small table of cells (count, xor of digests, xor
 of checks) that each digest enters at three places. Two versions' tables subtract
 cell by cell; peeling then takes out digests from cells that hold a single one until
 all that differ are recovered. A table that does not peel is tried again with twice
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from paylake.llm.common import settle
 
 PIECE = 160          # code points of a paragraph at most
-GROUP = 8            # digests of a group on average, at most
-CELLS = 36           # cells of a group's table in the first attempt: three parts of twelve
+GROUP = 4            # digests of a group on average, at most
+CELLS = 18           # cells of a group's table in the first attempt: three parts of six
 TRIES = 4            # attempts, each with twice the cells; what is still stuck is compared directly
 BUCKET = 256         # consecutive documents that find their successors together
 CHECK = 977          # seed of the check hash; places use the attempt and part
