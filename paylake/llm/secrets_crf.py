@@ -341,13 +341,15 @@ class Tagger:
         return [(a, b - (len(text[a:b]) - len(text[a:b].rstrip(".")))) for a, b in spans if text[a:b].rstrip(".")]
 
 
-def train(docs: DataFrame, text: str = "text", positive_docs: int = 400, other_docs: int = 200,
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", positive_docs: int = 400, other_docs: int = 200,
           windows_per_doc: int = 6) -> Model | None:
-    """Fit on the first documents in hash order: with a likely secret and any.
-    At most (positive_docs + other_docs) x windows_per_doc short windows reach the
-    driver. None if there is no labelled secret among them."""
+    """Fit on a hash sample of about ``positive_docs`` documents with a likely secret and
+    ``other_docs`` of any kind (twice as many at most). The sampling rate follows from one
+    row of counts, so no task gathers texts; at most 2 x (positive_docs + other_docs) x
+    windows_per_doc x 2 short windows reach the driver. None if no secret is labelled."""
     ship(docs.sparkSession)
-    body = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    body = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    likely = F.col("t").rlike(LIKELY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -356,11 +358,14 @@ def train(docs: DataFrame, text: str = "text", positive_docs: int = 400, other_d
                 pa.array([r[0] for r in rows], pa.list_(pa.string())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
                 pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["tokens", "tags", "file"])
 
-    order = [F.xxhash64("t"), F.col("t")]
-    sample = [body.filter(F.col("t").rlike(LIKELY)).orderBy(*order).limit(positive_docs),
-              body.orderBy(*order).limit(other_docs)]
-    rows = [r for part in sample for r in part.mapInArrow(cut, "tokens array<string>, tags array<int>, file array<int>").collect()]
-    windows = sorted((list(r.tokens), list(r.tags), list(r.file)) for r in rows)
+    count = body.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(likely.cast("long")), F.lit(0)).alias("m")).first()
+    place = F.pmod(F.xxhash64("k", "t"), F.lit(1 << 40))
+    windows = []
+    for part, want, of in ((body.filter(likely), positive_docs, count.m), (body, other_docs, count.n)):
+        some = part.filter(place < int((1 << 40) * min(1.0, want / max(1, of)))).select("t")
+        got = some.mapInArrow(cut, "tokens array<string>, tags array<int>, file array<int>")
+        windows += [(list(r.tokens), list(r.tags), list(r.file)) for r in got.limit(4 * want * windows_per_doc).collect()]
+    windows.sort()
     if not any(any(w[1]) for w in windows):
         return None
     return fit(windows)
