@@ -1,12 +1,15 @@
 """License scans: MinHash bands over overlapping windows, verified by shingle containment.
 
-A template of L words belongs to the window class of the least length w >= 2.5 L; texts
-are cut into windows of w words every w / 2, so a template with some words put in
+A template of L words belongs to the window class of the least length w >= 2.5 L (16
+words, doubled until it fits); texts are cut into windows of w words every w / 2, so a template with some words put in
 between still lies inside one window. A window that holds 0.8 of a template's
 five-word shingles has a least resemblance J to it; one-row bands, ln(MISS) / ln(1 - J)
 of them, make the chance that no band agrees less than MISS. Windows without a single
 template shingle cannot match and are left out before hashing.
 
+A template shorter than a shingle is one shingle of its whole word sequence; its windows
+are all runs of as many words, so it is found word for word wherever it stands.
+
 Only built-in functions run: the template table is a parameter of the job and the only
 thing broadcast.
 """
@@ -25,7 +28,7 @@ SHINGLE = 5
 CONTAINED = 0.8
 MISS = 1e-6
 STRETCH = 2.5
-CLASSES = (16, 32, 64, 128, 256, 512)
+LEAST_WINDOW = 16
 
 # fixed values: public wordings of licence notices
 TEMPLATES = (
@@ -46,6 +49,10 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Proprietary", "All rights reserved. Unauthorized copying of this file, via any medium is strictly prohibited"),
 )
+# notices of less than five words; the SQL of the first list knows whole shingles only
+SHORT_TEMPLATES = (
+    ("All-rights-reserved", "All rights reserved"),
+)
 
 
 def template_words(text: str) -> list[str]:
@@ -59,7 +66,16 @@ class Template:
 
     @property
     def window(self) -> int:
-        return next(w for w in CLASSES if w >= STRETCH * len(self.words))
+        if self.short:
+            return len(self.words)
+        w = LEAST_WINDOW
+        while w < STRETCH * len(self.words):
+            w *= 2
+        return w
+
+    @property
+    def short(self) -> bool:
+        return len(self.words) < SHINGLE
 
     @property
     def bands(self) -> int:
@@ -70,9 +86,9 @@ class Template:
 
 
 def templates(pairs: tuple[tuple[str, str], ...] = TEMPLATES) -> list[Template]:
-    """Templates of five words or more; shorter ones have no shingle to match."""
+    """The templates that have a word."""
     made = [Template(n, tuple(template_words(t))) for n, t in pairs]
-    return [t for t in made if len(t.words) >= SHINGLE]
+    return [t for t in made if t.words]
 
 
 def word_hashes(text: Column) -> Column:
@@ -80,10 +96,10 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
 
 
-def shingles(hashes: Column) -> Column:
+def shingles(hashes: Column, size: int = SHINGLE) -> Column:
     n = F.size(hashes)
-    return F.when(n >= SHINGLE, F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(
-        *[F.get(hashes, i + j) for j in range(SHINGLE)]))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(
+        *[F.get(hashes, i + j) for j in range(size)]))).otherwise(F.array().cast("array<bigint>"))
 
 
 def bands(window: Column, number: int) -> Column:
@@ -98,12 +114,53 @@ def scan(docs: DataFrame, pairs: tuple[tuple[str, str], ...] = TEMPLATES, key: s
     some window of it contains.
 
     ``containment`` is the best of its windows, ``start_word`` the word (from 0) at which the
-    first of these begins, ``n_windows`` the number of matching windows. Null or short
-    texts match nothing; null keys are kept; repeated rows give repeated rows; an empty
+    first of these begins, ``n_windows`` the number of matching windows. Null texts and
+    texts shorter than the template match nothing; null keys are kept; repeated rows give repeated rows; an empty
     table gives an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
     known = templates(pairs)
+    df = docs.select(F.col(f"`{key}`").alias("k"), word_hashes(F.col(f"`{text}`")).alias("h"))
+    df = df.select(F.monotonically_increasing_id().alias("rid"), "k", "h")
+    parts = [find(df, some) for find, some in ((_contained, [t for t in known if not t.short]),
+                                               (_verbatim, [t for t in known if t.short])) if some]
+    if not parts:
+        raise ValueError("no template has a word")
+    hit = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    best = F.max(F.struct(F.col("c"), -F.col("at")))
+    out = hit.groupBy("rid", "k", "license").agg(best.alias("x"), F.count_distinct("at").alias("n_windows"))
+    return out.select(F.col("k").alias(key), "license", F.col("x.c").alias("containment"),
+                      (-F.col("x").getField("col2") - 1).alias("start_word"), "n_windows")
+
+
+def _verbatim(df: DataFrame, known: list[Template]) -> DataFrame:
+    """(rid, k, license, at, c) of every run of words (hashes h) that is a template below a shingle's length."""
+    spark = df.sparkSession
+    table = spark.createDataFrame([(t.name, list(t.words), t.window) for t in known], "license string, words array<string>, w int")
+    hashed = F.transform("words", lambda x: F.xxhash64(x))
+    sizes = sorted({t.window for t in known})
+    whole = F.coalesce(*[F.when(F.col("w") == n, F.get(shingles(hashed, n), F.lit(0))) for n in sizes])
+    rows = table.select("license", "w", whole.alias("s")).collect()
+    found = []
+    for n in sizes:
+        mine = F.array(*[F.lit(s) for s in sorted({r.s for r in rows if r.w == n})])
+        found.append(F.filter(F.transform(shingles(F.col("h"), n), _run(n)), _among(mine)))
+    index = spark.createDataFrame([(r.license, r.w, r.s) for r in rows], "license string, w int, s long")
+    # one explode of all lengths: see the windows below
+    at = df.select("rid", "k", F.explode(F.flatten(F.array(*found))).alias("v")).select("rid", "k", "v.w", "v.at", "v.s")
+    return at.join(F.broadcast(index), ["s", "w"]).select("rid", "k", "license", "at", F.lit(1.0).alias("c"))
+
+
+def _run(n: int):
+    return lambda s, i: F.struct(F.lit(n).alias("w"), (i + 1).alias("at"), s.alias("s"))
+
+
+def _among(values: Column):
+    return lambda v: F.array_contains(values, v.getField("s"))
+
+
+def _contained(df: DataFrame, known: list[Template]) -> DataFrame:
+    """(rid, k, license, at, c) of every window of the texts (word hashes h) that contains a template of a shingle or more."""
+    spark = df.sparkSession
     table = spark.createDataFrame(
         [(t.name, list(t.words), t.window, t.bands) for t in known], "license string, words array<string>, w int, m int")
     table = table.select("license", "w", "m", F.array_distinct(shingles(F.transform("words", lambda x: F.xxhash64(x)))).alias("ts"))
@@ -112,8 +169,7 @@ def scan(docs: DataFrame, pairs: tuple[tuple[str, str], ...] = TEMPLATES, key: s
         j, F.array_min(F.transform("ts", lambda s: F.xxhash64(s, j))))).alias("bands")).collect()
     literal = lambda values: F.array(*[F.lit(v) for v in sorted(values)]).cast("array<bigint>")
     every = literal({s for r in rows for s in r.ts})
-    df = docs.select(F.col(f"`{key}`").alias("k"), word_hashes(F.col(f"`{text}`")).alias("h"))
-    df = df.select(F.monotonically_increasing_id().alias("rid"), "k", shingles(F.col("h")).alias("s"))
+    df = df.select("rid", "k", shingles(F.col("h")).alias("s"))
     cut = []
     for w in sorted({r.w for r in rows}):
         mine = [r for r in rows if r.w == w]
@@ -130,11 +186,7 @@ def scan(docs: DataFrame, pairs: tuple[tuple[str, str], ...] = TEMPLATES, key: s
                                   "band long, license string, w int, ts array<long>")
     hit = df.join(F.broadcast(index), ["band", "w"])
     share = F.size(F.array_intersect("s", "ts")) / F.size("ts")
-    hit = hit.select("rid", "k", "license", "at", share.alias("c")).filter(F.col("c") >= CONTAINED)
-    best = F.max(F.struct(F.col("c"), -F.col("at")))
-    out = hit.groupBy("rid", "k", "license").agg(best.alias("x"), F.count_distinct("at").alias("n_windows"))
-    return out.select(F.col("k").alias(key), "license", F.col("x.c").alias("containment"),
-                      (-F.col("x").getField("col2") - 1).alias("start_word"), "n_windows")
+    return hit.select("rid", "k", "license", "at", share.alias("c")).filter(F.col("c") >= CONTAINED)
 
 
 def _window(w: int, m: int):

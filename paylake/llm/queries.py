@@ -98,3 +98,11 @@ def op9_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.licenses import scan
     return scan(documents(spark, sf_dir))
+
+
+# op9's SQL knows whole shingles only, so notices of less than five words are a query of their own
+@query("op9_license_short")
+def op9_license_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.licenses import SHORT_TEMPLATES, scan
+    return scan(documents(spark, sf_dir), SHORT_TEMPLATES)

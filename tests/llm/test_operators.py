@@ -325,6 +325,31 @@ def test_licenses_run_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_short_and_long_templates(spark):
+    """A template below a shingle's length, and one beyond 204 words."""
+    long_text = " ".join(f"word{i}" for i in range(1000))
+    known = (*licenses.TEMPLATES, *licenses.SHORT_TEMPLATES, ("long", long_text), ("one", "Unlicense"))
+    assert licenses.Template("x", tuple(licenses.template_words(long_text))).window == 4096
+    rows = [(1, "Text.\nAll rights reserved."), (2, "ALL  Rights, reserved; all rights reserved"), (3, "all rights"),
+            (4, "x " * 300 + long_text + " y" * 300), (5, "all rights are reserved"), (6, None), (7, "unlicense"),
+            (None, "Released under the MIT License. All rights reserved."), (1, "Text.\nAll rights reserved.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in licenses.scan(df, known).filter("license <> 'MIT'").collect())
+    short = "All-rights-reserved"
+    longs = [r for r in got if r[1] == "long"]
+    assert [(r[0], r[2]) for r in longs] == [(4, 1.0)] and got.pop(longs[0]) == 1
+    assert got == {(1, short, 1.0, 1, 1): 2, (2, short, 1.0, 0, 2): 1, (7, "one", 1.0, 0, 1): 1, (None, short, 1.0, 5, 1): 1}
+
+
+def test_short_licenses_of_a_table(spark, whole, none):
+    df = QUERIES["op9_license_short"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    want = Counter(k for k, t in pairs(whole) if " all rights reserved " in f" {' '.join(licenses.template_words(t or ''))} ")
+    assert len(want) == 3 and Counter(r.doc_id for r in df.collect()) == want
+    assert licenses.scan(none, licenses.SHORT_TEMPLATES).count() == 0
+
+
 # fingerprints
 
 def test_edited_texts(spark, docs, none, whole):
