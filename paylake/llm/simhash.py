@@ -160,6 +160,13 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def rooted(marked: DataFrame, max_bits: int, key: str) -> DataFrame:
+    """(fp, least, root): every distinct fingerprint of (key, fp), its smallest key and its component's smallest fingerprint."""
+    least = settle(marked.groupBy("fp").agg(F.min(f"`{key}`").alias("least")), "distinct")
+    nodes = components(links(least.select("fp"), max_bits))
+    return least.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 3, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(key, fingerprint, component_id) of every document.
@@ -171,10 +178,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 3, key: str
     table gives an empty result; other columns are not read.
     """
     marked = settle(fingerprints(docs, size, key, text), "fingerprints")
-    least = settle(marked.groupBy("fp").agg(F.min(f"`{key}`").alias("least")), "distinct")
-    nodes = components(links(least.select("fp"), max_bits))
-    grouped = least.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    grouped = settle(grouped, "grouped")
+    grouped = settle(rooted(marked, max_bits, key), "grouped")
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of = settle(grouped.join(ids, "root").select("fp", "component_id"), "members")
     out = marked.join(of, "fp")
@@ -183,8 +187,18 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 3, key: str
 
 def keep_first(docs: DataFrame, size: int = 3, max_bits: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component: that of the smallest key (of its repeated rows one).
-    A component without any key keeps one of its rows."""
-    found = near_duplicates(docs, size, max_bits, key, text)
-    heads = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_head")).distinct()
-    kept = docs.join(heads, F.col(f"`{key}`").eqNullSafe(F.col("_head")), "left_semi")
-    return kept.dropDuplicates([key])
+    A component without any key keeps one of its rows.
+
+    Rows are told apart by key and text, so null keys or a key of several texts are rows
+    like any other: equal texts are always of one component, and a component's least
+    (key, text digest), null keys last, is of no other one."""
+    name = F.col(f"`{key}`")
+    digest = F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
+    row = F.struct(name.isNull().alias("none"), name.alias("_head_key"), digest.alias("_head_digest"))
+    marked = settle(fingerprints(docs.select(row.alias("row"), F.col(f"`{text}`").alias("text")), size, "row", "text"),
+                    "fingerprints")
+    heads = settle(rooted(marked, max_bits, "row").groupBy("root").agg(F.min("least").alias("least"))
+                   .select("least._head_key", "least._head_digest"), "heads")
+    rows = docs.withColumn("_digest", digest)
+    kept = rows.join(heads, name.eqNullSafe(F.col("_head_key")) & (F.col("_digest") == F.col("_head_digest")), "left_semi")
+    return kept.dropDuplicates([key, "_digest"]).drop("_digest")

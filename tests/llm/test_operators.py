@@ -217,6 +217,16 @@ def test_near_duplicates(docs, none, whole):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_one_row_stays_of_every_component(spark):
+    """Several null keys, and one doc_id under two texts."""
+    rng = random.Random(1)
+    a, b, c, d, e = (" ".join(f"{rng.randrange(10 ** 6)}" for _ in range(40)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, c), (None, c), (1, c), (2, c), (3, d), (3, e), (3, e), (None, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text or "") for r in simhash.keep_first(df).collect())
+    assert got == Counter([(None, a), (None, b), (1, c), (3, d), (3, e), (None, "")])
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3, 5])
 def test_every_link_meets_at_an_anchor(spark, bits):
     rng = random.Random(bits)
