@@ -45,6 +45,7 @@ KEYWORDS = frozenset("password passwd pwd pass secret token apikey api_key key b
 CATEGORIES = ("edge", "keyword", "equals", "colon", "quote", "punct", "word", "number", "mixed", "long")
 HEX_LETTERS = frozenset("0123456789abcdef")
 SHAPES = 64
+FIRST_CATEGORY = 46
 FILE_FEATURES = 9
 
 
@@ -80,12 +81,16 @@ def category(token: str) -> int:
 
 
 def shape(token: str) -> list[int]:
-    """Ids (below SHAPES) of the token's own features."""
+    """Ids (below SHAPES) of the whole token's own features; the category comes last."""
     n = len(token)
     low, up = any(map(str.islower, token)), any(map(str.isupper, token))
     digits = sum(map(str.isdigit, token))
-    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in token[:256]]
-    turns = sum(a != b for a, b in zip(kinds, kinds[1:]))
+    turns, inner, last = -1, False, ""
+    for c in token:  # one pass without a list: a token can be a whole text
+        kind = "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s"
+        inner = inner or last == "s"
+        turns += kind != last
+        last = kind
     hexa = n >= 8 and all(c in "0123456789abcdef" for c in token)
     out = [0,
            1 + min(8, n // 4),
@@ -97,13 +102,13 @@ def shape(token: str) -> list[int]:
         out.append(40)
     if token.startswith("AKIA"):
         out.append(41)
-    if "s" in kinds[:-1]:
+    if inner:
         out.append(42)
     if up and low and digits:
         out.append(43 + (n >= 12))
     if n >= 12 and turns >= 6:
         out.append(45)
-    return out + [46 + category(token)]
+    return out + [FIRST_CATEGORY + category(token)]
 
 
 def file_features(text: str, tokens: int) -> list[int]:
@@ -127,8 +132,8 @@ class Model:
         return Model(np.zeros((SHAPES, 3)), np.zeros((4, c, 3)), np.zeros((FILE_FEATURES, 3)), np.zeros((3, 3)))
 
 
-def training_windows(text: str, most: int) -> list[tuple[list[str], list[int], list[int]]]:
-    """Up to ``most`` stretches of a text: tokens, their tags, file features."""
+def training_windows(text: str, most: int) -> list[tuple[list[list[int]], list[int], list[int]]]:
+    """Up to ``most`` stretches of a text: the tokens' shapes, their tags, file features."""
     found = list(TOKEN.finditer(text))
     if not found:
         return []
@@ -147,17 +152,17 @@ def training_windows(text: str, most: int) -> list[tuple[list[str], list[int], l
     features = file_features(text, len(found))
     out = []
     for a, b in spots:
-        pairs = [(m.group()[:200], int(y)) for m, y in zip(found[a:b], tags[a:b])]
+        pairs = [(m.group(), int(y)) for m, y in zip(found[a:b], tags[a:b])]
         out.append(pairs)
         # the same stretch without the mark before the value, so that shape and
         # neighbouring words carry the decision as well
         bare = [(t, y) for t, y in pairs if y != O or t not in "=:\"'"]
         if any(y for _, y in pairs) and len(bare) < len(pairs):
             out.append(bare)
-    return [([t for t, _ in p], [y for _, y in p], features) for p in out]
+    return [([shape(t) for t, _ in p], [y for _, y in p], features) for p in out]
 
 
-def fit(windows: list[tuple[list[str], list[int], list[int]]], rounds: int = 120, rate: float = 0.1,
+def fit(windows: list[tuple[list[list[int]], list[int], list[int]]], rounds: int = 120, rate: float = 0.1,
         shrink: float = 1e-4) -> Model:
     """Maximum likelihood by Adam; forward-backward over all windows at once.
     The chain starts and ends in an outside token."""
@@ -169,9 +174,9 @@ def fit(windows: list[tuple[list[str], list[int], list[int]]], rounds: int = 120
     tags = np.zeros((n, length), int)
     mask = np.zeros((n, length))
     for k, (tokens, tag, features) in enumerate(windows):
-        cats = [0] * PAD + [category(t) for t in tokens] + [0]
-        for t, token in enumerate(tokens):
-            own[k, t, shape(token)] = 1
+        cats = [0] * PAD + [ids[-1] - FIRST_CATEGORY for ids in tokens] + [0]
+        for t, ids in enumerate(tokens):
+            own[k, t, ids] = 1
             near[k, t] = cats[t + PAD - 1], cats[t + PAD - 2], cats[t + PAD - 3], cats[t + PAD + 1]
         tags[k, :len(tag)], mask[k, :len(tag)] = tag, 1
         file[k, features] = 1
@@ -355,7 +360,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", positive_doc
         for batch in batches:
             rows = [w for t in batch.column(0).to_pylist() for w in training_windows(t, windows_per_doc)]
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.list_(pa.string())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
+                pa.array([r[0] for r in rows], pa.list_(pa.list_(pa.int32()))), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
                 pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["tokens", "tags", "file"])
 
     count = body.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(likely.cast("long")), F.lit(0)).alias("m")).first()
@@ -363,7 +368,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", positive_doc
     windows = []
     for part, want, of in ((body.filter(likely), positive_docs, count.m), (body, other_docs, count.n)):
         some = part.filter(place < int((1 << 40) * min(1.0, want / max(1, of)))).select("t")
-        got = some.mapInArrow(cut, "tokens array<string>, tags array<int>, file array<int>")
+        got = some.mapInArrow(cut, "tokens array<array<int>>, tags array<int>, file array<int>")
         windows += [(list(r.tokens), list(r.tags), list(r.file)) for r in got.limit(4 * want * windows_per_doc).collect()]
     windows.sort()
     if not any(any(w[1]) for w in windows):

@@ -143,6 +143,13 @@ def test_pruned_viterbi_is_the_whole_one(whole):
             at += len(ts) + secrets_crf.PAD
 
 
+def test_shape_reads_the_whole_token():
+    key = "q7Zx9Lm2Kd" * 3
+    late = secrets_crf.shape("a" * 300 + "/" + key)
+    assert {42, 44, 45} <= set(late) and 23 not in late   # an inner symbol, mixed, many turns
+    assert secrets_crf.shape("a" * 300 + "/" + key) in secrets_crf.training_windows("x " + "a" * 300 + "/" + key, 6)[0][0]
+
+
 def test_field_adds_spans_and_redacts(spark, docs):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choices(["some", "plain", "words", "here", "12", "and"], k=9)) + f" {rng.choice(['token', 'api_key', 'secret'])}"
