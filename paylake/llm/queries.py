@@ -106,3 +106,27 @@ def op9_license_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
     from paylake.llm.licenses import SHORT_TEMPLATES, scan
     return scan(documents(spark, sf_dir), SHORT_TEMPLATES)
+
+
+@query("op11_source_divergence", sql.DIVERGENCE)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.divergence import audit
+    return audit(documents(spark, sf_dir))
+
+
+@query("op12_piece_agenda")
+def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylake.llm.common import documents
+    from paylake.llm.piece_agenda import encode
+    return encode(documents(spark, sf_dir), ids=False)
+
+
+@query("op13_periodic_runs", sql.RUNS)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from paylake.llm.common import documents
+    from paylake.llm.periodic_runs import digest, find_runs, with_planted
+    docs = documents(spark, sf_dir).select("doc_id", with_planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return digest(find_runs(docs))

@@ -131,3 +131,71 @@ kept AS (
   FROM (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d) ANTI JOIN gone USING (rid, j) GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
 FROM d LEFT JOIN removed USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+DIVERGENCE = r"""WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+langs AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+seen AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT lang, source, coalesce(any_value(s.total), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN
+       (SELECT lang, source, sum(n) AS total FROM seen GROUP BY lang, source) s USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(s.n, 0) + 5) // (g.total + 5 * l.v)::HUGEINT)::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (k.n + 5) // (l.total + 5 * l.v)::HUGEINT)::BIGINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN seen s
+    ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+dist AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+ranked AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN dist ON dist.lang = a.lang AND dist.source = a.source AND dist.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= 50"""
+
+
+# every equal pair of six words proposes a period: a run has such a pair at each of its places
+RUNS = r"""WITH steps AS (
+  SELECT list(list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+              lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY x) AS t
+  FROM (SELECT unnest(range(256))::BIGINT AS x)),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               regexp_extract_all(coalesce(doc_id::VARCHAR, ''), '.'), lambda c: ascii(c)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM documents, steps),
+planned AS (
+  SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, h // 10 AS g FROM d),
+edited AS (
+  SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN ws
+    ELSE [ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] FOR i IN range(n)] END AS ws FROM planned),
+six AS (
+  SELECT rid, i, md5(array_to_string(ws[i + 1:i + 6], ' ')) AS k
+  FROM (SELECT rid, ws, unnest(range(greatest(n - 5, 0))) AS i FROM edited)),
+twice AS (SELECT *, count(*) OVER (PARTITION BY rid, k) AS c FROM six QUALIFY c > 1),
+equal AS (SELECT x.rid, x.i, y.i - x.i AS q FROM twice x JOIN twice y ON x.rid = y.rid AND x.k = y.k AND x.i < y.i),
+found AS (
+  SELECT rid, min(i) AS s, count(*) + 5 + q AS m, q FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM equal)
+  GROUP BY rid, q, island HAVING count(*) + 5 + q >= greatest(12, 2 * q)),
+runs AS (SELECT rid, s, m, min(q) AS q FROM found GROUP BY rid, s, m),
+report AS (
+  SELECT rid, count(*) AS n_runs, arg_max({'s': s, 'm': m, 'q': q}, (m, -s, -q)) AS best,
+         string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS line FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(s + q, s + m)) AS i FROM runs),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS line
+  FROM (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM edited) ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.m::BIGINT AS length,
+       best.q::BIGINT AS period, (1000 * best.m // best.q)::BIGINT AS exponent_milli,
+       sha256(coalesce(r.line, '')) AS runs_sha256, sha256(coalesce(k.line, '')) AS collapsed_sha256
+FROM edited LEFT JOIN report r USING (rid) LEFT JOIN kept k USING (rid)"""

@@ -163,3 +163,63 @@ def paragraphs(text):
 
 def alike(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def runs(ws, least=12):
+    """(start, length, period) of every run, by definition: all stretches of each period."""
+    n, best = len(ws), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i < n - q:
+            if ws[i] != ws[i + q]:
+                i += 1
+                continue
+            s = i
+            while i < n - q and ws[i] == ws[i + q]:
+                i += 1
+            if i + q - s >= max(least, 2 * q):
+                best.setdefault((s, i + q - s), q)
+    return sorted((s, m, q) for (s, m), q in best.items())
+
+
+def collapsed(ws, found):
+    gone = {i for s, m, q in found for i in range(s + q, s + m)}
+    return " ".join(w for i, w in enumerate(ws) if i not in gone)
+
+
+def planted(doc_id, text):
+    ws, h = words(text), zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    n, g = len(ws), h // 10
+    if h % 10 or not n:
+        return ws
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [ws[i] if i < a else ws[a + (i - a) % p] for i in range(n)]
+
+
+def divergence(rows, least, top):
+    """(lang, source, part, item, value, rank) of (text, lang, source) rows, every term priced for every pair."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    terms = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate(LOWER)) for t, _, _ in rows]
+    out = []
+    for lang in {g for _, g, _ in rows}:
+        mine = [(s, ts) for (_, g, s), ts in zip(rows, terms) if g == lang]
+        docs = collections.Counter(x for _, ts in mine for x in set(ts))
+        kept = [x for x, n in docs.items() if n >= least]
+
+        def shares(sources):
+            n = collections.Counter(x for s, ts in mine for x in ts if s in sources)
+            total = sum(n[x] for x in kept) + 5 * len(kept)
+            return n, {x: 1 + 10**9 * (n[x] + 5) // total for x in kept}
+
+        sources = {s for s, _ in mine}
+        whole = shares(sources)[1]
+        each = {s: shares({s}) for s in sources}
+        for s in sources:
+            n, p = each[s]
+            pair = [(o, sum(abs(p[x] - each[o][1][x]) for x in kept)) for o in sources if o != s]
+            term = [(x, p[x] - whole[x]) for x in kept if n[x] and p[x] > whole[x]]
+            for part, found, most in (("pair", pair, None), ("term", term, top)):
+                found.sort(key=lambda f: (-f[1], f[0].encode()))
+                out += [(lang, s, part, x, v, i) for i, (x, v) in enumerate(found[:most], 1)]
+    return out

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paylake.llm import bpe_trie, context_tree, curriculum, iblt, licenses, quality, relative_lz, secrets_crf, simhash, toxicity
+from paylake.llm import (bpe_trie, context_tree, curriculum, divergence, iblt, licenses, periodic_runs, piece_agenda, quality,
+                         relative_lz, secrets_crf, simhash, toxicity)
 from paylake.llm.queries import ORACLES, QUERIES
 from paylake.tools.oracle_check import compare, duck_connect
 
@@ -58,7 +59,7 @@ def test_matches_sql(spark, key):
 
 
 def test_each_operator_is_registered():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 # quality
@@ -101,6 +102,29 @@ def test_encoding_equals_the_library(spark, docs, none, whole):
     assert [g[1] for g in got] == [" ".join(map(str, e.ids)) for e in want]
 
 
+def test_encoding_memory_and_forgetting(monkeypatch):
+    import tracemalloc
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(bpe_trie.default_path())
+    random.seed(4)
+    word = "".join(random.choices("abcdefghij", k=200_000))
+    encoder = bpe_trie.TrieEncoder(bpe_trie.Vocabulary(bpe_trie.default_path()))
+    tracemalloc.start()
+    got = encoder.encode([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0][1] == " ".join(map(str, t.encode(word, add_special_tokens=False).ids)) and peak < 100e6
+    assert bpe_trie.id_lists([(0, "", ""), *got, (0, "", "")]).to_pylist()[0::2] == [[], []]
+    assert bpe_trie.id_lists([(0, "", "")]).to_pylist() == [[]] and bpe_trie.id_lists([]).to_pylist() == []
+    # words forgotten, kept over and met again give the same ids
+    monkeypatch.setattr(bpe_trie, "CACHE_BYTES", 3000)
+    monkeypatch.setattr(bpe_trie, "CACHE_PAIRS", 5)
+    texts = [" ".join(random.choices(["it's", "\x01", "word", "wordy", "a,b", "Σας", "日本"] + [f"w{i}" for i in range(30)], k=12))
+             for _ in range(200)]
+    got = [encoder.encode([x])[0][1] for x in texts]
+    assert got == [" ".join(map(str, e.ids)) for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
 # secrets
 
 def test_base_spans_stay(docs, none, whole):
@@ -413,3 +437,116 @@ def test_peeling_recovers_the_differences(spark):
 def test_sketch_is_native(spark):
     plan = QUERIES["op10_lookup_sketch"](spark, SF_SMALL)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# source divergence
+
+def test_gallop_and_merge_price():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        v = int(rng.integers(1, 400))
+        a, b = (np.sort(rng.choice(v, int(rng.integers(0, v + 1)), replace=False)).astype(np.int64) for _ in "ab")
+        stride = int(rng.choice([1, 3, 64]))
+        assert (divergence.gallop(a, b, stride) == np.searchsorted(b, a)).all()
+        ca, cb = rng.integers(1, 10**12, len(a)), rng.integers(1, 50, len(b))
+        ta, tb = int(ca.sum()) + 5 * v, int(cb.sum()) + 5 * v
+        full = [dict(zip(x.tolist(), c.tolist())) for x, c in ((a, ca), (b, cb))]
+        p = lambda side, t, total: 1 + 10**9 * (full[side].get(t, 0) + 5) // total
+        want = sum(abs(p(0, t, ta) - p(1, t, tb)) for t in range(v))
+        assert divergence.merge_price(a, ca, ta, b, cb, tb, v) == divergence.merge_price(b, cb, tb, a, ca, ta, v) == want
+
+
+def test_divergence_small(spark, docs, none, monkeypatch):
+    """Against the definition, with nulls, a group without terms, repeated rows and clashing columns."""
+    monkeypatch.setattr(divergence, "HELD_TERMS", 3)
+    monkeypatch.setattr(divergence, "BLOCK_TERMS", 2)   # several blocks
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
+    rows += [(100 + i, t, g, s) for i, (t, g, s) in enumerate([
+        ("Été ÉTÉ cat_dog cat", "fr", "x"), ("cat dog", "fr", "y"), (None, "fr", "z"), ("12 34", "fr", ""), ("cat", "fr", None),
+        ("one word", "xx", "only"), ("a a b", "yy", "p"), ("b b a\x00c", "yy", "q"), ("c", "yy", "p")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS term", "'' AS item", "2 AS n")
+    for least in (1, 2):
+        want = Counter(brute.divergence([(t, g, s) for _, t, g, s in rows], least, 3))
+        got = Counter(tuple(r) for r in divergence.audit(df, least, 3).collect())
+        assert got == want
+    assert divergence.audit(none).count() == 0
+
+
+# sentencepiece
+
+def test_pieces_equal_the_library(spark, docs, none, whole, monkeypatch):
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=piece_agenda.default_path())
+
+    def check(df):
+        want = Counter()
+        for k, text in pairs(df):
+            ids = lib.encode(text or "", add_bos=True, add_eos=True)
+            want[k, len(ids), brute.hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), brute.sha(lib.decode(ids))] += 1
+        rows = piece_agenda.encode(df).collect()
+        assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == want
+        assert all(r.as_library and lib.decode(r.token_ids) == r.decoded for r in rows)
+
+    check(docs)
+    check(whole)
+    assert piece_agenda.encode(none).count() == 0 and "token_ids" not in piece_agenda.encode(docs, ids=False).columns
+    pieces = piece_agenda.Pieces.read(piece_agenda.default_path())
+    encoder = piece_agenda.Encoder(pieces)
+    uncut = piece_agenda.Encoder(pieces)
+    uncut.cut = None                       # the agenda over whole texts, as for vocabularies with pieces across words
+    uncut.parts = lambda chunk: [chunk]
+    random.seed(2)
+    letters = "abcdefghijklmnopqrstuvwxyzé'’0129 \n\t\x0b\x1c\x85 　İΣσςß中文字😀́‍.,!?-_ABCẞ▁\x00   "
+    texts = ["".join(random.choices(letters, k=random.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(random.choices(list(pieces.ids), k=random.randint(1, 4))) for _ in range(5000)]
+    texts += ["<s>a</s>", "<unk>", "<0x0A>", "�", "▁", " ", "  ", "", " a", "  a  b  ", "\n", "a" * 50_000]
+    want = lib.encode(texts, add_bos=True, add_eos=True)
+    monkeypatch.setattr(piece_agenda, "CACHE_BYTES", 200_000)   # forgets as it goes
+    for e in (encoder, uncut):
+        got = [g for i in range(0, len(texts), 500) for g in e.encode(texts[i:i + 500])]
+        assert [np.frombuffer(g[0], "<u4").tolist() for g in got] == want
+        assert [g[1] for g in got] == [lib.decode(ids) for ids in want] == [e.decode(ids) for ids in want]
+    assert encoder.decode([pieces.begin, *(pieces.byte[b] for b in b"\xff\xc3\xa9"), pieces.end]) == "\ufffdé"
+
+
+# periodic runs
+
+def test_runs_by_definition():
+    rng = random.Random(6)
+
+    def nested(depth):
+        if not depth:
+            return [rng.choice("abc") for _ in range(rng.randint(1, 4))]
+        out = []
+        for _ in range(rng.randint(1, 3)):
+            out += nested(depth - 1) * rng.randint(1, 4)
+            if rng.random() < .3:
+                del out[rng.randint(0, len(out)):]
+        return out
+
+    for least in (1, 2, 5, 12):
+        for _ in range(30):
+            every = [nested(rng.randint(1, 3))[:150] for _ in range(25)]
+            every += [[rng.choice("abcd"[:rng.randint(1, 4)]) for _ in range(rng.randint(0, 60))] for _ in range(25)]
+            for ws, (n, found, left) in zip(every, periodic_runs.search([" ".join(ws) for ws in every], least)):
+                want = brute.runs(ws, least)
+                assert [tuple(r) for r in found.tolist()] == want and n == len(ws) and left == brute.collapsed(ws, want)
+    assert periodic_runs.search(["a " * 100_000])[0][1].tolist() == [[0, 100_000, 1]]
+    assert periodic_runs.search([]) == [] and periodic_runs.search(["", " \n"])[1][0] == 0
+
+
+def test_runs_edges(spark, docs, none):
+    df = docs.withColumn("runs", F.lit(1)).withColumn("collapsed", F.lit("x"))
+    df = df.select(*[c for c in df.columns if c != "text"], periodic_runs.with_planted(F.col("doc_id"), F.col("text")).alias("text"))
+    want = Counter()
+    for k, t in pairs(docs):
+        ws = brute.planted(k, t)
+        found = brute.runs(ws)
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        want[(k, len(found), *((best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4),
+              brute.sha("".join("%d,%d,%d\n" % r for r in found)), brute.sha(brute.collapsed(ws, found)))] += 1
+    assert Counter(tuple(r) for r in periodic_runs.digest(periodic_runs.find_runs(df)).collect()) == want
+    assert periodic_runs.find_runs(none).count() == 0
+    ids = spark.range(300).selectExpr("id - 150 AS doc_id", "concat_ws(' ', sequence(1, 1 + id % 40)) AS text")
+    got = ids.select("doc_id", "text", periodic_runs.with_planted(F.col("doc_id"), F.col("text")).alias("t")).collect()
+    assert all(brute.words(r.t) == brute.planted(r.doc_id, r.text) for r in got)
