@@ -9,8 +9,10 @@ depth-first walk fills in the last tokens, so a prefix that many words share is
 encoded once, and each word's ids are read off backwards.
 
 Tables of the vocabulary have a fixed size (that of the tokenizer file) and are
-broadcast; texts stream through ``mapInArrow`` in batches with a bounded word
-cache, so a task's memory does not grow with the input.
+broadcast; texts stream through ``mapInArrow`` in slices, and what a worker
+remembers of earlier words is bounded in bytes, so a task's memory does not grow
+with the input. The walk keeps one state per letter of the path it is on, so a word
+of n letters takes memory in proportion to n.
 """
 from __future__ import annotations
 
@@ -18,8 +20,9 @@ import gc
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,8 +34,10 @@ from paylake.llm.common import ship
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 300_000   # words remembered by one task
-SLICE_CHARS = 4_000_000  # characters whose words share one trie
+CACHE_BYTES = 60_000_000   # of words and chunks remembered by a worker, twice at most
+CACHE_PAIRS = 150_000      # boundaries remembered by a worker
+SLICE_CHARS = 4_000_000    # characters of one slice, unless stated
+TRIE_CHARS = 1_000_000     # characters whose words share one trie
 
 
 def byte_letters() -> list[str]:
@@ -80,18 +85,25 @@ class Vocabulary:
 
 
 class TrieEncoder:
-    """Encodes sets of words; remembers up to ``CACHE_WORDS`` of them."""
+    """Encodes sets of words. What it remembers has two generations: when the younger one
+    reaches ``CACHE_BYTES`` it becomes the older one, and what the older one held is forgotten."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.letters = byte_letters()
         self.pieces = regex.compile(PIECES)
         self.parted = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
-        self.stays: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self.width = max(vocabulary.text, default=0) + 1
+        self.stays: dict[int, bool] = {}
+        self.older: tuple[dict, dict, dict] = ({}, {}, {})
+        self._renew()
+
+    def _renew(self) -> None:
+        self.words: dict[str, Sequence[int]] = {}
         self.ids: dict[str, str] = {}
         self.shown: dict[str, str] = {}
         self.bare: set[str] = set()  # chunks without any piece
+        self.bytes = 0
 
     def apart(self, a: int, b: int) -> bool:
         """Whether merging leaves a boundary between neighbours ``a`` and ``b``.
@@ -117,60 +129,50 @@ class TrieEncoder:
                 x, limit, strict = v.halves[x][1], rx, True
             else:
                 y, limit, strict = v.halves[y][0], ry, False
-        if len(self.stays) > 1_000_000:
+        if len(self.stays) > CACHE_PAIRS:
             self.stays.clear()
-        self.stays[a, b] = ok
+        self.stays[a * self.width + b] = ok
         return ok
 
-    def _last(self, path: str, tokens: dict, back: list[tuple[int, int]]) -> tuple[int, int]:
-        """Last token and its length for the prefix ``path``; ``back[d]`` is the
+    def _last(self, word: str, end: int, tokens: dict, back: list[tuple[int, int]]) -> tuple[int, int]:
+        """Last token and its length for the prefix of length ``end``; ``back[d]`` is the
         state of the prefix of length d. Exactly one token fits."""
-        node, start, stays = tokens, len(path), self.stays
+        node, start, stays, width = tokens, end, self.stays, self.width
         while start:
             start -= 1
-            node = node.get(path[start])
+            node = node.get(word[start])
             if node is None:
                 break
             token = node.get(END)
             if token is not None:
                 if start == 0:
-                    return token, len(path)
+                    return token, end
                 before = back[start][0]
-                ok = stays.get((before, token))
+                ok = stays.get(before * width + token)
                 if ok or ok is None and self.apart(before, token):
-                    return token, len(path) - start
-        raise ValueError(f"no token ends {path!r}")
+                    return token, end - start
+        raise ValueError(f"no token ends {word[:end]!r}")
 
     def learn(self, words: set[str]) -> None:
-        """Insert ``words`` (in byte letters) into a trie and encode them all depth first."""
-        root: dict = {}
-        for w in words:
-            node = root
-            for c in w[:-1]:
-                child = node.get(c)
-                if child is None:
-                    child = node[c] = {}
-                node = child
-            node.setdefault(END, []).append(w)
+        """Encode ``words`` (in byte letters) as a depth-first walk of their trie. The trie is
+        held as its words in order, each leaving the path of the word before it where the two
+        part, so the states of a shared prefix are computed once and kept on one path."""
         back: list[tuple[int, int]] = [(-1, 0)]
-        stack = [("", iter(root.items()))]
-        while stack:
-            path, children = stack[-1]
-            for key, child in children:
-                if key == END:
-                    for w in child:
-                        self._read(w, back)
-                    continue
-                here = path + key
-                back.append(self._last(here, self.v.inner, back))
-                stack.append((here, iter(child.items())))
-                break
-            else:
-                stack.pop()
-                back.pop()
+        last, inner, before = self._last, self.v.inner, ""
+        for word in sorted(words):
+            shared = 1
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                shared += 1
+            del back[shared:]
+            for end in range(len(back), len(word)):
+                back.append(last(word, end, inner, back))
+            self._read(word, back)
+            before = word
 
     def _read(self, word: str, back: list[tuple[int, int]]) -> None:
-        token, size = self._last(word, self.v.final, back)
+        token, size = self._last(word, len(word), self.v.final, back)
         ids, at = [token], len(word) - size
         while at > 0:
             token, size = back[at]
@@ -178,6 +180,7 @@ class TrieEncoder:
             at -= size
         ids.reverse()
         self.words[word] = ids
+        self.bytes += 210 + len(word) + 8 * len(ids)
 
     def split(self, text: str) -> list[str]:
         """White-space chunks of the text in NFC and lower case (letter by letter:
@@ -195,23 +198,34 @@ class TrieEncoder:
     def _remember(self, chunks: set[str]) -> None:
         """Encode chunks not met before; all their new words share one trie."""
         pieces_of: dict[str, list[str]] = {}
+        old_words, old_ids, old_shown = self.older
         for chunk in chunks:
+            if chunk in old_ids:
+                self._keep(chunk, old_ids[chunk], old_shown[chunk])
+                continue
             pieces_of[chunk] = [
                 piece if piece.isascii() and piece.isprintable()  # such bytes stand for themselves
                 else "".join(map(self.letters.__getitem__, piece.encode())) for piece in self.pieces.findall(chunk)]
-        self.learn({w for pieces in pieces_of.values() for w in pieces}.difference(self.words))
+        new = {w for pieces in pieces_of.values() for w in pieces}.difference(self.words)
+        for w in new.intersection(old_words):
+            self.words[w] = old_words[w]
+            self.bytes += 210 + len(w) + 8 * len(old_words[w])
+        self.learn(new.difference(old_words))
         for chunk, pieces in pieces_of.items():
-            if not pieces:
-                self.bare.add(chunk)
             ids = [i for w in pieces for i in self.words[w]]
-            self.ids[chunk] = " ".join(map(str, ids))
-            self.shown[chunk] = " ".join(map(self.v.text.__getitem__, ids))
+            self._keep(chunk, " ".join(map(str, ids)), " ".join(map(self.v.text.__getitem__, ids)))
+
+    def _keep(self, chunk: str, ids: str, shown: str) -> None:
+        self.ids[chunk], self.shown[chunk] = ids, shown
+        self.bytes += 350 + len(chunk) + len(ids) + len(shown)
+        if not ids:
+            self.bare.add(chunk)
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of tokens, ids joined by spaces, decoded text) of each text."""
-        if len(self.words) > CACHE_WORDS or len(self.ids) > CACHE_WORDS:
-            for kept in (self.words, self.ids, self.shown, self.bare):
-                kept.clear()
+        if self.bytes > CACHE_BYTES:
+            self.older = self.words, self.ids, self.shown
+            self._renew()
         parted, new = [], set()
         for text in texts:
             if any(s in text for s in self.v.special):
@@ -257,7 +271,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
+def slices(texts: Iterable[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
     """Consecutive runs of texts of about ``limit`` characters (one text at least)."""
     run, size = [], 0
     for t in texts:
@@ -270,6 +284,13 @@ def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
         yield run
 
 
+def id_lists(got: list[tuple[int, str, str]]) -> pa.ListArray:
+    """The ids of each text as one flat array with offsets."""
+    ends = np.concatenate([[0], np.cumsum([g[0] for g in got])])
+    flat = np.fromstring(" ".join(g[1] for g in got if g[1]), np.int32, sep=" ")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text",
            ids: bool = True) -> DataFrame:
     """Encode every text: (key, n_tokens, token_ids array, ids_sha256, decoded_sha256).
@@ -285,12 +306,11 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
         encoder = encoder_for(vocabulary.value)
         for batch in batches:
             at = 0
-            for texts in slices([t or "" for t in batch.column(1).to_pylist()]):
+            for texts in slices((t.as_py() or "" for t in batch.column(1)), TRIE_CHARS):
                 got = encoder.encode(texts)
                 cols = [batch.column(0).slice(at, len(texts)), pa.array([g[0] for g in got], pa.int64())]
                 if ids:
-                    cols.append(pa.array([[int(i) for i in g[1].split(" ")] if g[1] else [] for g in got],
-                                         pa.list_(pa.int32())))
+                    cols.append(id_lists(got))
                 cols += [pa.array([hashlib.sha256(g[k].encode()).hexdigest() for g in got]) for k in (1, 2)]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(cols, names)
