@@ -71,17 +71,18 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A directory under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names a folder every executor can reach. It is
-    read from the session; only when it is unset (local tests) a scratch
-    folder is chosen and recorded so later calls agree.
+    read from the session. Spark does not let it be set on a running session, so
+    where it is unset (local tests) a scratch folder is given to the context,
+    which remembers it for later calls.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="paylake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="paylake-ckpt-"))
+        base = sc.getCheckpointDir()
+    elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     path = base.rstrip("/")
     for p in parts:

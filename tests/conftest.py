@@ -20,7 +20,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paylake-test-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paylake-test-"))
     configure(s)
     yield s
 
