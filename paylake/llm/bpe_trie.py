@@ -34,7 +34,7 @@ from paylake.llm.common import ship
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-CACHE_BYTES = 60_000_000   # of words and chunks remembered by a worker, twice at most
+CACHE_BYTES = 60_000_000   # of words and chunks remembered by a task, twice at most
 CACHE_PAIRS = 150_000      # boundaries remembered by a worker
 SLICE_CHARS = 4_000_000    # characters of one slice, unless stated
 TRIE_CHARS = 1_000_000     # characters whose words share one trie
@@ -95,6 +95,10 @@ class TrieEncoder:
         self.parted = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
         self.width = max(vocabulary.text, default=0) + 1
         self.stays: dict[int, bool] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Free what is remembered: a worker goes on to tasks of other kinds."""
         self.older: tuple[dict, dict, dict] = ({}, {}, {})
         self._renew()
 
@@ -258,7 +262,7 @@ _encoders: dict[str, TrieEncoder] = {}
 
 
 def encoder_for(vocabulary: Vocabulary) -> TrieEncoder:
-    """The encoder of this worker process, so that tasks after the first find its words known."""
+    """The encoder of this worker process, so that its tasks share the vocabulary's tables."""
     if vocabulary.digest not in _encoders:
         _encoders.clear()
         _encoders[vocabulary.digest] = TrieEncoder(vocabulary)
@@ -314,6 +318,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
                 cols += [pa.array([hashlib.sha256(g[k].encode()).hexdigest() for g in got]) for k in (1, 2)]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(cols, names)
+        encoder.forget()
 
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
     names = ["k", "n_tokens", *(["token_ids"] if ids else []), "ids_sha256", "decoded_sha256"]

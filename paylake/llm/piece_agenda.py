@@ -37,7 +37,7 @@ from paylake.llm.bpe_trie import slices
 from paylake.llm.common import ship
 
 MARK = "▁"            # fixed value: how the vocabulary writes a space
-CACHE_BYTES = 50_000_000   # of parts and chunks remembered by a worker, twice at most
+CACHE_BYTES = 50_000_000   # of parts and chunks remembered by a task, twice at most
 SLICE_CHARS = 1_000_000    # characters encoded and compared at once
 PART_COST = 400            # bytes of a remembered part besides its letters and ids
 
@@ -93,6 +93,10 @@ class Encoder:
             alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in joined))
             self.cut = re.compile((f"[{alone}]|" if alone else "") + f"{MARK}*[^{MARK}{alone}]+|{MARK}+")
         self.odd = frozenset(i for i, t in enumerate(pieces.text) if not isinstance(t, str))
+        self.forget()
+
+    def forget(self) -> None:
+        """Free what is remembered: a worker goes on to tasks of other kinds."""
         self.ids: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
         self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
@@ -213,7 +217,7 @@ _workers: dict[bytes, tuple[Encoder, Library]] = {}
 
 
 def worker_for(pieces: Pieces) -> tuple[Encoder, Library]:
-    """Encoder and library of this worker process, so that later tasks find their chunks known."""
+    """Encoder and library of this worker process, so that its tasks share the vocabulary's tables."""
     key = hashlib.sha256(pieces.content).digest()
     if key not in _workers:
         gc.disable()  # the tables hold no cycles, and scanning them again and again is slow
@@ -258,6 +262,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
                          pa.array(same, pa.bool_())]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(cols, names)
+        encoder.forget()
 
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
     out = [("k", kind), ("n_tokens", "long"), *([("token_ids", "array<int>"), ("decoded", "string")] if ids else []),

@@ -36,6 +36,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, so the length can be in the
 LIKELY = r"(?i)(password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"  # JVM preselection of the sample
 TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s+/.\-]")
 O, B, I = 0, 1, 2
+REDACTED_CHARS = 1_000_000  # characters tagged and rewritten at once by redact
 PAD = 3                 # outside tokens between texts
 CACHE_TOKENS = 300_000
 WINDOW = 12             # tokens on either side of a training span
@@ -439,7 +440,7 @@ def redact(docs: DataFrame, model: Model | None, text: str = "text") -> DataFram
         for batch in batches:
             at = 0
             whole = batch.column(place).to_pylist()
-            for texts in slices([t or "" for t in whole]):
+            for texts in slices((t or "" for t in whole), REDACTED_CHARS):
                 tagged = tagger.spans(texts) if fitted else [[] for _ in texts]
                 clean = []
                 for text_, extra in zip(texts, tagged):
