@@ -37,9 +37,11 @@ from paylake.llm.bpe_trie import slices
 from paylake.llm.common import ship
 
 MARK = "▁"            # fixed value: how the vocabulary writes a space
-CACHE_BYTES = 50_000_000   # of parts and chunks remembered by a task, twice at most
+CACHE_BYTES = 100_000_000  # of parts and chunks remembered by a worker, twice at most
 SLICE_CHARS = 1_000_000    # characters encoded and compared at once
 PART_COST = 400            # bytes of a remembered part besides its letters and ids
+SHORT = 48                 # letters of a part whose agenda is a plain list
+NEVER = float("inf")       # cost of a pair that is no piece
 
 
 @dataclass(frozen=True)
@@ -92,11 +94,6 @@ class Encoder:
             joined = set().union(*pieces.beside)
             alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in joined))
             self.cut = re.compile((f"[{alone}]|" if alone else "") + f"{MARK}*[^{MARK}{alone}]+|{MARK}+")
-        self.odd = frozenset(i for i, t in enumerate(pieces.text) if not isinstance(t, str))
-        self.forget()
-
-    def forget(self) -> None:
-        """Free what is remembered: a worker goes on to tasks of other kinds."""
         self.ids: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
         self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
@@ -120,7 +117,36 @@ class Encoder:
         return out
 
     def merge(self, part: str) -> list[int]:
-        """Ids of one part by the agenda."""
+        """Ids of one part by the agenda, which is a list in place for short parts and a heap
+        for long ones. The order is the same: least cost, then leftmost."""
+        symbols = self._merge_short(part) if len(part) <= SHORT else self._merge_long(part)
+        out, ids, byte = [], self.v.ids, self.v.byte
+        for s in symbols:
+            token = ids.get(s)
+            if token is None:
+                out.extend(map(byte.__getitem__, s.encode()))
+            else:
+                out.append(token)
+        return out
+
+    def _merge_short(self, part: str) -> list[str]:
+        cost, symbols = self.v.cost.get, list(part)
+        agenda = [cost(pair, NEVER) for pair in map(add, part, part[1:])]   # by place: cost of the pair that begins there
+        while agenda:
+            least = min(agenda)
+            if least == NEVER:
+                break
+            i = agenda.index(least)
+            s = symbols[i] + symbols.pop(i + 1)
+            symbols[i] = s
+            del agenda[i]
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + s, NEVER)
+            if i < len(agenda):
+                agenda[i] = cost(s + symbols[i + 1], NEVER)
+        return symbols
+
+    def _merge_long(self, part: str) -> list[str]:
         n, cost = len(part), self.v.cost.get
         stop = [*range(1, n + 1), 0]            # where the symbol at a place ends; 0: merged away
         left = list(range(-1, n))               # the symbol before
@@ -141,11 +167,7 @@ class Encoder:
                 heappush(agenda, (c, before, end))
         out, at = [], 0
         while at < n:
-            token = self.v.ids.get(part[at:stop[at]])
-            if token is None:
-                out.extend(map(self.v.byte.__getitem__, part[at:stop[at]].encode()))
-            else:
-                out.append(token)
+            out.append(part[at:stop[at]])
             at = stop[at]
         return out
 
@@ -153,8 +175,10 @@ class Encoder:
         """The text of ids: pieces with their marks as spaces, runs of bytes as UTF-8;
         marks without text give nothing."""
         found = [self.v.text[i] for i in ids]
-        if not any(i in self.odd for i in ids):
+        try:
             return "".join(found)
+        except TypeError:       # there are bytes or marks without text
+            pass
         out, run = [], bytearray()
         for t in [*found, ""]:
             if isinstance(t, int):
@@ -174,27 +198,26 @@ class Encoder:
             self.older = self.ids, self.shown
             self.ids, self.shown, self.bytes = {}, {}, 0
         chunks = [self.chunks(t) for t in texts]
-        for chunk in set().union(*chunks).difference(self.ids):
-            if not self._known(chunk):
-                parts = self.parts(chunk)
-                for p in parts:
-                    if not self._known(p):
-                        found = self.merge(p)
-                        self._keep(p, pack(f"<{len(found)}I", *found), self.show(found))
-                if len(parts) > 1:
-                    self._keep(chunk, b"".join(map(self.ids.__getitem__, parts)), "".join(map(self.shown.__getitem__, parts)))
+        cut = {c: self.parts(c) for c in self._recall(set().union(*chunks).difference(self.ids))}
+        for part in self._recall(set().union(*cut.values()).difference(self.ids)):
+            found = self.merge(part)
+            self._keep(part, pack(f"<{len(found)}I", *found), self.show(found))
+        ids, shown = self.ids, self.shown
+        for chunk, parts in cut.items():
+            if len(parts) > 1:
+                self._keep(chunk, b"".join([ids[p] for p in parts]), "".join([shown[p] for p in parts]))
         begin, end = pack("<I", self.v.begin), pack("<I", self.v.end)
         # a letter's bytes are all in one chunk, so chunks are shown one by one
         return [(b"".join([begin, *map(self.ids.__getitem__, c), end]),
                  "".join(map(self.shown.__getitem__, c)).removeprefix(" ")) for c in chunks]
 
-    def _known(self, part: str) -> bool:
-        """Whether the part is remembered; one of the older generation moves to the younger."""
-        if part not in self.ids:
-            if part not in self.older[0]:
-                return False
-            self._keep(part, self.older[0][part], self.older[1][part])
-        return True
+    def _recall(self, new: set[str]) -> set[str]:
+        """Those of ``new`` that are not remembered; parts of the older generation move to the younger."""
+        old_ids, old_shown = self.older
+        again = new.intersection(old_ids)
+        for part in again:
+            self._keep(part, old_ids[part], old_shown[part])
+        return new - again
 
     def _keep(self, part: str, ids: bytes, shown: str) -> None:
         self.ids[part], self.shown[part] = ids, shown
@@ -217,7 +240,7 @@ _workers: dict[bytes, tuple[Encoder, Library]] = {}
 
 
 def worker_for(pieces: Pieces) -> tuple[Encoder, Library]:
-    """Encoder and library of this worker process, so that its tasks share the vocabulary's tables."""
+    """Encoder and library of this worker process, so that later tasks find their parts known."""
     key = hashlib.sha256(pieces.content).digest()
     if key not in _workers:
         gc.disable()  # the tables hold no cycles, and scanning them again and again is slow
@@ -262,7 +285,6 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
                          pa.array(same, pa.bool_())]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(cols, names)
-        encoder.forget()
 
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
     out = [("k", kind), ("n_tokens", "long"), *([("token_ids", "array<int>"), ("decoded", "string")] if ids else []),
