@@ -112,13 +112,12 @@ def envelope(df: DataFrame, table: str, op: str, ts_ms: int, key_col: str) -> Da
                      F.to_json(msg, JSON_OPTS).alias("value"))
 
 
-def to_topic(messages: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Messages as a consumer sees them after the broker: spread over the
-    topic's partitions. Data messages carry no key in the producer, so the
-    spread is round-robin; consumers then decode in parallel, one task per
-    topic partition, whatever the producer's layout was."""
-    n = partitions or messages.sparkSession.sparkContext.defaultParallelism
-    return messages.repartition(n)
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of an input with fewer splits than the cluster has cores over all cores, by
+    key: compact columns, before the costly text is made of them. Inputs with enough splits
+    stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, F.xxhash64(key))
 
 
 def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
@@ -137,6 +136,8 @@ def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
                                .otherwise(v))
 
 
+RESCUED = "_rescued"   # column of landed tables for fields that their schema lacks
+
 META = T.StructType([T.StructField("table", T.StringType()), T.StructField("op", T.StringType()),
                      T.StructField("ts_ms", T.LongType())])
 
@@ -148,7 +149,7 @@ def _parse_schema(schema: T.StructType) -> T.StructType:
                          T.StructField("_corrupt", T.StringType())])
 
 
-def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
+def decode(messages: DataFrame, schema: T.StructType, rescue: str | None = None) -> DataFrame:
     """Parse message values against ``schema``; classify rejects.
 
     Adds ``error_msg`` (NULL for good rows) and one typed column per schema
@@ -158,52 +159,65 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     The typed parse is one ``from_json`` (PERMISSIVE, corrupt-record
     column): malformed text, non-objects and values of the wrong type all
     land in the corrupt column. Only rejected rows and rows without a parsed
-    payload -- a small minority -- are parsed again as VARIANT to name the
-    reason, so the common path costs one JSON parse per message."""
+    payload or with nulls alone are parsed again as VARIANT, inside one ``when``, to name
+    the reason; a good row passes one parse and no other operator.
+
+    With ``rescue`` a VARIANT column of that name holds the payload's fields that ``schema`` lacks
+    (null if there are none), so that a field the source has added is not lost."""
     keep = list(messages.columns)
     j = F.from_json(F.col("value"), _parse_schema(schema),
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     parsed = messages.select(*keep, j.alias("_j"))
     corrupt = F.col("_j._corrupt").isNotNull()
     no_payload = F.col("_j.payload").isNull()
-    # one-element explode: the VARIANT parse is materialised once per row
-    # (and only computed for the rows that need it)
-    parsed = parsed.select("*", F.explode(F.array(
-        F.when(corrupt | no_payload, F.try_parse_json(F.col("value"))))).alias("_p"))
-    p = F.col("_p")
-    payload_v = F.try_variant_get(p, "$.payload", "variant")
-    body_v = F.coalesce(payload_v, p)
-    mism = []
+    field = {f.name: F.when(~no_payload, F.col(f"_j.payload.{f.name}")).otherwise(F.col(f"_j.{f.name}")) for f in schema.fields}
+    bare = reduce(lambda a, b: a & b, [c.isNull() for c in field.values()])
+    # evaluated for the few rows in doubt; the parsed value is bound once
+    doubt = F.transform(F.array(F.try_parse_json(F.col("value"))), lambda p: _reason(p, schema, corrupt))[0]
+    out = parsed.select(*keep, "_j", F.when(corrupt | no_payload | bare, doubt).alias("error_msg"))
+    more = []
+    if rescue:
+        payload = F.coalesce(F.get_json_object("value", "$.payload"), F.col("value"))
+        known = F.array(*[F.lit(f.name) for f in schema.fields], F.lit("_meta"))
+        unknown = F.size(F.array_except(F.json_object_keys(payload), known)) > 0
+        rest = F.map_filter(F.from_json(payload, "map<string,variant>"), lambda k, _: ~F.array_contains(known, k))
+        more = [F.when(F.col("error_msg").isNull() & unknown, F.try_parse_json(F.to_json(rest))).alias(rescue)]
+    return out.select(*keep, "error_msg", *[c.alias(n) for n, c in field.items()], *more)
+
+
+def _reason(p: Column, schema: T.StructType, corrupt: Column) -> Column:
+    """Why a message in doubt is rejected (null: it is good), from its value parsed as VARIANT."""
+    value = F.col("value")
+    payload = F.try_variant_get(p, "$.payload", "variant")
+    body = F.coalesce(payload, p)
+    mism, known = [], F.lit(False)
     for f in schema.fields:
-        raw_f = F.try_variant_get(body_v, f"$.{f.name}", "variant")
-        val = F.try_variant_get(body_v, f"$.{f.name}", f.dataType.simpleString())
-        mism.append(F.when(raw_f.isNotNull() & ~F.is_variant_null(raw_f) & val.isNull(),
+        raw = F.try_variant_get(body, f"$.{f.name}", "variant")
+        known = known | raw.isNotNull()
+        mism.append(F.when(raw.isNotNull() & ~F.is_variant_null(raw)
+                           & F.try_variant_get(body, f"$.{f.name}", f.dataType.simpleString()).isNull(),
                            F.lit(f"type_mismatch:{f.name}")))
-    reason = (F.when(p.isNull(), "malformed_json")
-              .when(~F.col("value").rlike(r"^\s*\{"), "not_an_object")
-              .when(payload_v.isNotNull() & ~F.schema_of_variant(payload_v).startswith("OBJECT"), "not_an_object")
-              .otherwise(F.coalesce(*mism, F.lit("corrupt_record"))))
-    blank = F.col("value").isNull() | ~F.col("value").rlike(r"\S")
-    err = (F.when(blank, "malformed_json").when(corrupt, reason)
-           .when(no_payload & payload_v.isNotNull(), "null_payload"))
-    body = F.when(~no_payload, F.col("_j.payload")).otherwise(
-        F.struct(*[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields]))
-    out = parsed.select(*keep, err.alias("error_msg"), body.alias("_body"))
-    # rows of NULLs alone are parsed again: good only if one of the table's fields is there
-    bare = reduce(lambda a, b: a & b, [F.col(f"_body.{f.name}").isNull() for f in schema.fields])
-    out = out.select("*", F.explode(F.array(F.when(
-        F.col("error_msg").isNull() & bare, F.try_parse_json(F.col("value"))))).alias("_q"))
-    inner = F.coalesce(F.try_variant_get("_q", "$.payload", "variant"), F.col("_q"))
-    known = reduce(lambda a, b: a | b, [F.try_variant_get(inner, f"$.{f.name}", "variant").isNotNull() for f in schema.fields])
-    out = out.withColumn("error_msg", F.when(F.col("_q").isNotNull() & ~known, "no_known_field").otherwise(F.col("error_msg")))
-    return out.select(*keep, "error_msg", *[F.col(f"_body.{f.name}").alias(f.name) for f in schema.fields])
+    rejected = (F.when(p.isNull(), "malformed_json")
+                .when(~value.rlike(r"^\s*\{"), "not_an_object")
+                .when(payload.isNotNull() & ~F.schema_of_variant(payload).startswith("OBJECT"), "not_an_object")
+                .otherwise(F.coalesce(*mism, F.lit("corrupt_record"))))
+    return (F.when(value.isNull() | ~value.rlike(r"\S"), "malformed_json").when(corrupt, rejected)
+            .when(F.col("_j.payload").isNull() & payload.isNotNull(), "null_payload")
+            .when(~known, "no_known_field"))
 
 
 def split_dead_letters(decoded: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    good = decoded.filter(F.col("error_msg").isNull()).select(
-        F.regexp_replace("topic", r"^pg\.", "").alias("table_name"), *[f.name for f in schema.fields])
-    bad = decoded.filter(F.col("error_msg").isNotNull()).select(
-        "message_key", "value", "error_msg", F.col("topic").alias("original_topic"))
+    """Good rows as rows of the table, rejected messages with their reason. The rows of each side
+    are taken by an explode: a filter would be pushed below the parse and repeat it for every
+    reference to its result."""
+    def side(wanted: Column, *cols: Column) -> DataFrame:
+        return decoded.select(F.explode(F.when(wanted, F.array(F.struct(*cols)))).alias("r")).select("r.*")
+
+    rescued = [F.col(c) for c in decoded.columns if c == RESCUED]
+    good = side(F.col("error_msg").isNull(), F.regexp_replace("topic", r"^pg\.", "").alias("table_name"),
+                *[F.col(f.name) for f in schema.fields], *rescued)
+    bad = side(F.col("error_msg").isNotNull(), F.col("message_key"), F.col("value"), F.col("error_msg"),
+               F.col("topic").alias("original_topic"))
     return good, bad
 
 

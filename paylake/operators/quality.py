@@ -1,11 +1,9 @@
 """Data-quality checks and the gate that runs them.
 
 Every check returns a DataFrame; a report row is one check with its number
-of failures. Checks on one model are folded into a single aggregate pass
-(one scan, partial aggregation, one row shuffled per task), uniqueness
-checks are one keyed aggregate each, and foreign keys are anti-joins against
-the parent's distinct keys (AQE broadcasts the parent at runtime only when
-its measured size is under the threshold).
+of failures. Reports over several tables are compiled by :mod:`checks`: one scan per
+table, one shuffle for all checks. Checks on one model alone are a single aggregate
+(:func:`column_checks`).
 """
 from __future__ import annotations
 
@@ -16,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake import schemas as S
+from paylake.operators.checks import Foreign, Plan, Rule, Unique
 
 REPORT_COLS = ["check_name", "model", "column_name", "failures"]
 
@@ -24,22 +23,6 @@ def _union(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def duplicate_keys(df: DataFrame, model: str, keys: Sequence[str]) -> DataFrame:
-    """One row per key value that occurs more than once (NULL keys ignored)."""
-    cond = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (df.filter(cond).groupBy(*keys).count().filter(F.col("count") > 1)
-              .select(F.lit(model).alias("model"), F.lit(",".join(keys)).alias("column_name"),
-                      F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key_value"),
-                      F.col("count").alias("occurrences")))
-
-
-def unique_report(df: DataFrame, model: str, keys: Sequence[str]) -> DataFrame:
-    dups = duplicate_keys(df, model, keys)
-    return dups.agg(F.count("*").alias("failures")).select(
-        F.lit("unique").alias("check_name"), F.lit(model).alias("model"),
-        F.lit(",".join(keys)).alias("column_name"), "failures")
-
-
 def column_checks(df: DataFrame, model: str, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
     """Fold ``(check_name, column, failing_predicate)`` checks into one
     aggregate over ``df`` and return one report row per check."""
@@ -73,19 +56,22 @@ def accepted_values(col: str, values: Sequence) -> tuple[str, str, Column]:
 
 # -- the declared tests of the models ------------------------------------
 
-def declared_tests(wh) -> list[DataFrame]:
+STAGING_KEYS = [("stg_clients", "client_id"), ("stg_transactions", "transaction_id"), ("stg_countries", "country_id"),
+                ("stg_transaction_statuses", "status_id"), ("stg_transaction_types", "type_id")]
+DECLARED = STAGING_KEYS + [("fact_transactions", "amount")]
+
+
+def declared_tests() -> list:
     """unique + not_null on the five staging keys, not_null and min 0 on the
     fact amount."""
     out = []
-    for model, key in [("stg_clients", "client_id"), ("stg_transactions", "transaction_id"),
-                       ("stg_countries", "country_id"), ("stg_transaction_statuses", "status_id"),
-                       ("stg_transaction_types", "type_id")]:
-        df = getattr(wh, model).select(key)
-        out.append(unique_report(df, model, [key]))
-        out.append(column_checks(df, model, [not_null(key)]))
-    out.append(column_checks(wh.fact_transactions.select("amount"), "fact_transactions",
-                             [not_null("amount"), accepted_range("amount", min_value=0)]))
-    return out
+    for model, key in STAGING_KEYS:
+        out += [Unique(model, (key,)), rule(model, not_null(key))]
+    return out + [rule("fact_transactions", c) for c in (not_null("amount"), accepted_range("amount", min_value=0))]
+
+
+def rule(table: str, check: tuple[str, str, Column]) -> Rule:
+    return Rule(check[0], table, check[1], check[2])
 
 
 # -- source constraints --------------------------------------------------
@@ -96,33 +82,50 @@ SOURCE_UNIQUE = [
     ("merchants", ["merchant_id"]), ("merchants", ["tax_id"]),
     ("countries", ["country_id"]), ("countries", ["code"]),
     ("payment_cards", ["card_token"]), ("pos_terminals", ["serial_number"]),
-    ("refunds", ["reference"]),
+    ("refunds", ["reference"]), ("transaction_types", ["code"]), ("transaction_statuses", ["code"]),
+    ("card_networks", ["name"]), ("settlement_batches", ["merchant_id", "batch_date"]),
 ]
 
 
-def source_tests(raw) -> list[DataFrame]:
-    out = [unique_report(getattr(raw, t).select(*keys), t, keys) for t, keys in SOURCE_UNIQUE]
-    out.append(column_checks(raw.transactions, "transactions", [
-        not_null("txn_id"), not_null("initiated_at"),
-        accepted_range("amount", min_value=0),
-        accepted_values("channel", S.CHANNELS),
-        accepted_values("currency", S.CURRENCIES)]))
-    return out
+def source_tests() -> list:
+    out: list = [Unique(t, tuple(keys)) for t, keys in SOURCE_UNIQUE]
+    out += [rule("transactions", c) for c in (
+        not_null("txn_id"), not_null("initiated_at"), accepted_range("amount", min_value=0),
+        accepted_values("channel", S.CHANNELS), accepted_values("currency", S.CURRENCIES))]
+    return out + [rule("settlement_batches", accepted_values("status", S.BATCH_STATUSES))]
+
 
+def relationship_tests(fks=S.FOREIGN_KEYS) -> list:
+    """One ``relationships`` check per declared foreign key (Q9)."""
+    return [Foreign(*fk) for fk in fks]
 
-def relationship_tests(wh) -> list[DataFrame]:
-    """One ``relationships`` row per declared foreign key (Q9)."""
-    fk = fk_orphans(wh.raw, tables={"settlement_batches": wh.settlement_batches})
-    return [fk.select(F.lit("relationships").alias("check_name"), F.col("child_table").alias("model"),
-                      F.col("child_column").alias("column_name"), F.col("orphans").alias("failures"))]
+
+def tables_of(wh, checks) -> dict[str, DataFrame]:
+    """The tables that checks name: models, then the settlement batches, then raw tables."""
+    names = {t for c in checks for t in ((c.child, c.parent) if isinstance(c, Foreign) else (c.table,))}
+    return {n: getattr(wh, n) if n in wh.MODELS or n == "settlement_batches" else getattr(wh.raw, n) for n in sorted(names)}
+
+
+def compiled(wh, checks) -> Plan:
+    return Plan(checks, tables_of(wh, checks))
 
 
 def dq_report(wh, relationships: bool = False) -> DataFrame:
     """All declared and source checks, one row each (the gate's input);
-    with ``relationships`` also one row per foreign key (the same work as
-    :func:`fk_orphans`, so it is opt-in)."""
-    parts = declared_tests(wh) + source_tests(wh.raw) + (relationship_tests(wh) if relationships else [])
-    return _union(parts).select(*REPORT_COLS)
+    with ``relationships`` also one row per foreign key."""
+    checks = declared_tests() + source_tests() + (relationship_tests() if relationships else [])
+    return compiled(wh, checks).report().select(*REPORT_COLS)
+
+
+def unique_keys(wh) -> DataFrame:
+    """One row per duplicated key of the staging models and the sources' unique constraints."""
+    checks = [Unique(m, (k,)) for m, k in STAGING_KEYS] + [Unique(t, tuple(keys)) for t, keys in SOURCE_UNIQUE]
+    return compiled(wh, checks).duplicates()
+
+
+def duplicate_keys(df: DataFrame, model: str, keys: Sequence[str]) -> DataFrame:
+    """One row per key value that occurs more than once (NULL keys ignored)."""
+    return Plan([Unique(model, tuple(keys))], {model: df}).duplicates()
 
 
 def gate(report: DataFrame, checks: Sequence[tuple[str, str]] | None = None) -> None:
@@ -142,11 +145,6 @@ def gate(report: DataFrame, checks: Sequence[tuple[str, str]] | None = None) ->
             f"{r.check_name}({r.model}.{r.column_name})={r.failures}" for r in bad))
 
 
-DECLARED = [("stg_clients", "client_id"), ("stg_transactions", "transaction_id"),
-            ("stg_countries", "country_id"), ("stg_transaction_statuses", "status_id"),
-            ("stg_transaction_types", "type_id"), ("fact_transactions", "amount")]
-
-
 def non_empty(tables: dict[str, DataFrame]) -> DataFrame:
     """Whether each lookup table has at least one row.
 
@@ -158,12 +156,14 @@ def non_empty(tables: dict[str, DataFrame]) -> DataFrame:
                  .select("table_name", F.coalesce("has_rows", F.lit(False)).alias("has_rows")))
 
 
-def bad_values(df: DataFrame, model: str, col: str, values: Sequence) -> DataFrame:
-    """One row per value outside the accepted set, with its count."""
-    return (df.filter(F.col(col).isNotNull() & ~F.col(col).isin(*values))
-              .groupBy(col).count()
-              .select(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
-                      F.col(col).cast("string").alias("value"), F.col("count").alias("failures")))
+def bad_values(df: DataFrame, model: str, accepted: dict[str, Sequence]) -> DataFrame:
+    """One row per value outside a column's accepted set, with its count; one pass for all columns."""
+    entries = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values),
+                      F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+               for c, values in accepted.items()]
+    return (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+              .groupBy("e.column_name", "e.value").count()
+              .select(F.lit(model).alias("model"), "column_name", "value", F.col("count").alias("failures")))
 
 
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
@@ -185,6 +185,7 @@ def row_rules(txn: DataFrame) -> DataFrame:
         ("settled_iff_settled", "settled_at", F.col("settled_at").isNotNull() != (st == 6)),
         ("settled_1_to_3_days", "settled_at", F.coalesce(~settle_days.between(1, 3), F.lit(False))),
         ("device_only_online", "device_id", F.col("device_id").isNotNull() & ~ch.isin("ONLINE", "MOBILE")),
+        ("ip_iff_online", "ip_address", F.col("ip_address").isNotNull() != ch.isin("ONLINE", "MOBILE")),
         ("processed_1_to_8_s", "processed_at", F.coalesce(~delay.between(1, 8), F.lit(False))),
         ("fee_in_band", "fee", F.coalesce(~F.col("fee").between(amt * 0.015 + 0.10, amt * 0.03 + 0.50),
                                           F.lit(False))),
@@ -202,17 +203,6 @@ def default_card_violations(cards: DataFrame) -> DataFrame:
 
 def fk_orphans(raw, fks=S.FOREIGN_KEYS, tables: dict | None = None) -> DataFrame:
     """Number of child rows whose non-null key has no parent, per FK."""
-    def table(name):
-        if tables and name in tables:
-            return tables[name]
-        return getattr(raw, name)
-
-    parts = []
-    for child, col, parent, pkey in fks:
-        kids = table(child).select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
-        keys = table(parent).select(F.col(pkey).alias("_k")).distinct()
-        orphans = kids.join(keys, "_k", "left_anti")
-        parts.append(orphans.agg(F.count("*").alias("orphans")).select(
-            F.lit(child).alias("child_table"), F.lit(col).alias("child_column"),
-            F.lit(parent).alias("parent_table"), F.lit(pkey).alias("parent_column"), "orphans"))
-    return _union(parts)
+    names = {t for child, _, parent, _ in fks for t in (child, parent)}
+    found = {n: (tables or {}).get(n) if n in (tables or {}) else getattr(raw, n) for n in names}
+    return Plan(relationship_tests(fks), found).orphans()

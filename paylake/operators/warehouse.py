@@ -7,6 +7,7 @@ exchange(group) -> final agg).
 """
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -126,6 +127,18 @@ class Operations(Warehouse):
         from paylake.operators.recon import settlement_batches
         return settlement_batches(self.current_transactions, self.raw.status_lookup)
 
+    def pin(self, *names: str) -> Operations:
+        """Write raw tables that are views over joins once, under the shared checkpoint folder,
+        and read them from there in everything that is built afterwards: a report over many
+        tables derived from one then runs the view's joins once. For stored raw tables
+        there is nothing to pin. Call it before the tables that derive from these are used."""
+        from paylake.session import shared_dir
+        for name in names:
+            path = shared_dir(self.t.spark, "paylake", f"pin-{name}-{uuid.uuid4().hex}")
+            getattr(self.raw, name).write.parquet(path)
+            self.raw.__dict__[name] = self.t.spark.read.schema(getattr(self.raw, name).schema).parquet(path)
+        return self
+
     def bucket_by_txn(self, root: str, buckets: int, prefix: str = "paylake") -> dict[str, DataFrame]:
         """Write current transactions, refunds and alerts as tables bucketed
         and sorted by transaction id under ``root`` (the shared folder).

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paylake import schemas as S
 from paylake.operators import fraud, ingest, quality, recon
-from paylake.plans.catalog import query, warehouse
+from paylake.plans.registry import query, warehouse
 from paylake.plans.oracle_base import latest_sql, register, with_ctes
 from paylake.plans.oracle_models import initcap
 
@@ -64,7 +64,7 @@ _COUNT_TABLES = ["countries", "transaction_types", "transaction_statuses", "card
     " UNION ALL ".join([f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in _COUNT_TABLES]
                        + ["SELECT 'settlement_batches', COUNT(*) FROM settlement_batches"])))
 def table_row_counts(spark, sf):
-    w = _w(spark, sf)
+    w = _w(spark, sf).pin("transactions")
     tables = {t: getattr(w.raw, t) for t in _COUNT_TABLES} | {"settlement_batches": w.settlement_batches}
     return reduce(lambda a, b: a.unionByName(b), [
         df.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
@@ -87,7 +87,7 @@ _STORED = {t: t if t == "settlement_batches" else "raw_" + t for t, _ in _WM_TAB
     f"MAX({wm}) IS NOT NULL AS advanced FROM {_STORED[t]} WHERE {wm} > TIMESTAMP '{CUTOFF}'"
     for t, wm in _WM_TABLES)))
 def next_watermark(spark, sf):
-    w = _w(spark, sf)
+    w = _w(spark, sf).pin("transactions")
     return reduce(lambda a, b: a.unionByName(b), [
         ingest.next_watermark(w.settlement_batches if t == "settlement_batches" else getattr(w.raw, t), t, wm, CUTOFF)
         for t, wm in _WM_TABLES])
@@ -163,7 +163,7 @@ def cdc_envelope(spark, sf):
 
 def _corrupted(w):
     """Messages as consumed from the topic, some damaged in transit."""
-    m = ingest.envelope(w.raw.transactions, "transactions", "r", TS_MS, "txn_id")
+    m = ingest.envelope(ingest.spread(w.raw.transactions, "reference"), "transactions", "r", TS_MS, "txn_id")
     m = m.withColumn("_id", F.coalesce(F.col("message_key").cast("bigint"), F.lit(0)))
     return ingest.corrupt(m, F.col("_id")).drop("_id")
 
@@ -377,8 +377,12 @@ def _dup_sql(src: str, model: str, keys: list[str]) -> str:
             f"COUNT(*) AS occurrences FROM {src} WHERE {nn} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1")
 
 
+def _source(table: str) -> str:
+    return table if table == "settlement_batches" else "raw_" + table
+
+
 _UNIQUE_CHECKS = ([(m, m, [k]) for m, k in _STAGING_KEYS]
-                  + [("raw_" + t, t, keys) for t, keys in quality.SOURCE_UNIQUE])
+                  + [(_source(t), t, keys) for t, keys in quality.SOURCE_UNIQUE])
 
 
 @query("dq_unique", with_ctes([src for src, _, _ in _UNIQUE_CHECKS],
@@ -386,11 +390,7 @@ _UNIQUE_CHECKS = ([(m, m, [k]) for m, k in _STAGING_KEYS]
 def dq_unique(spark, sf):
     """One row per duplicated key value, over the staging keys and the
     source's unique constraints."""
-    w = _w(spark, sf)
-    parts = [quality.duplicate_keys(getattr(w, m).select(k), m, [k]) for m, k in _STAGING_KEYS]
-    parts += [quality.duplicate_keys(getattr(w.raw, t).select(*keys), t, keys)
-              for t, keys in quality.SOURCE_UNIQUE]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return quality.unique_keys(_w(spark, sf).pin("transactions"))
 
 
 _NN = _STAGING_KEYS + [("fact_transactions", "amount")]
@@ -402,11 +402,9 @@ _NN = _STAGING_KEYS + [("fact_transactions", "amount")]
     + [f"SELECT 'not_null', 'transactions', '{c}', CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) "
        f"FROM raw_transactions" for c in ("txn_id", "initiated_at", "client_id", "merchant_id", "currency")])))
 def dq_not_null(spark, sf):
-    w = _w(spark, sf)
-    parts = [quality.column_checks(getattr(w, m).select(c), m, [quality.not_null(c)]) for m, c in _NN]
-    parts.append(quality.column_checks(w.raw.transactions, "transactions", [
-        quality.not_null(c) for c in ("txn_id", "initiated_at", "client_id", "merchant_id", "currency")]))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    checks = [quality.rule(m, quality.not_null(c)) for m, c in _NN]
+    checks += [quality.rule("transactions", quality.not_null(c)) for c in ("txn_id", "initiated_at", "client_id", "merchant_id", "currency")]
+    return quality.compiled(_w(spark, sf).pin("transactions"), checks).report()
 
 
 @query("dq_accepted_range", with_ctes(["fact_transactions", "raw_transactions"], """
@@ -447,7 +445,7 @@ def _dq_report_sql() -> str:
                  "(SELECT COUNT(*) FROM fact_transactions WHERE amount < 0)")
     for t, keys in quality.SOURCE_UNIQUE:
         nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-        parts.append(f"SELECT 'unique', '{t}', '{','.join(keys)}', (SELECT COUNT(*) FROM (SELECT 1 FROM raw_{t} "
+        parts.append(f"SELECT 'unique', '{t}', '{','.join(keys)}', (SELECT COUNT(*) FROM (SELECT 1 FROM {_source(t)} "
                      f"WHERE {nn} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1))")
     chans = ", ".join(f"'{c}'" for c in S.CHANNELS)
     curs = ", ".join(f"'{c}'" for c in S.CURRENCIES)
@@ -458,16 +456,19 @@ def _dq_report_sql() -> str:
                             ("accepted_values", "currency", f"currency IS NOT NULL AND currency NOT IN ({curs})")]:
         parts.append(f"SELECT '{name}', 'transactions', '{col}', (SELECT COUNT(*) FROM raw_transactions "
                      f"WHERE {pred})")
+    states = ", ".join(f"'{s}'" for s in S.BATCH_STATUSES)
+    parts.append("SELECT 'accepted_values', 'settlement_batches', 'status', (SELECT COUNT(*) FROM settlement_batches "
+                 f"WHERE status IS NOT NULL AND status NOT IN ({states}))")
     return "SELECT check_name, model, column_name, CAST(failures AS BIGINT) AS failures FROM (" + \
         " UNION ALL ".join(parts) + ")"
 
 
 @query("dq_report", with_ctes([m for m, _ in _STAGING_KEYS] + ["fact_transactions"]
-                              + ["raw_" + t for t, _ in quality.SOURCE_UNIQUE], _dq_report_sql()))
+                              + sorted({_source(t) for t, _ in quality.SOURCE_UNIQUE}), _dq_report_sql()))
 def dq_report(spark, sf):
     """Every declared and source check in one report; ``quality.gate``
     raises on it when a declared check fails."""
-    return quality.dq_report(_w(spark, sf))
+    return quality.dq_report(_w(spark, sf).pin("transactions"))
 
 
 _LOOKUPS = ["countries", "transaction_types", "transaction_statuses", "card_networks", "merchant_categories",
@@ -481,17 +482,21 @@ def dq_non_empty(spark, sf):
     return quality.non_empty({t: getattr(raw, t) for t in _LOOKUPS})
 
 
-@query("dq_accepted_values", with_ctes(["raw_transactions"], f"""
+@query("dq_accepted_values", with_ctes(["raw_transactions", "settlement_batches"], f"""
 SELECT 'transactions' AS model, 'channel' AS column_name, channel AS value, COUNT(*) AS failures
 FROM raw_transactions WHERE channel IS NOT NULL AND channel NOT IN ({", ".join(f"'{c}'" for c in S.CHANNELS)})
 GROUP BY channel
 UNION ALL
 SELECT 'transactions', 'currency', currency, COUNT(*) FROM raw_transactions
-WHERE currency IS NOT NULL AND currency NOT IN ({", ".join(f"'{c}'" for c in S.CURRENCIES)}) GROUP BY currency"""))
+WHERE currency IS NOT NULL AND currency NOT IN ({", ".join(f"'{c}'" for c in S.CURRENCIES)}) GROUP BY currency
+UNION ALL
+SELECT 'settlement_batches', 'status', status, COUNT(*) FROM settlement_batches
+WHERE status IS NOT NULL AND status NOT IN ({", ".join(f"'{c}'" for c in S.BATCH_STATUSES)}) GROUP BY status"""))
 def dq_accepted_values(spark, sf):
-    t = _w(spark, sf).raw.transactions
-    return quality.bad_values(t, "transactions", "channel", S.CHANNELS).unionByName(
-        quality.bad_values(t, "transactions", "currency", S.CURRENCIES))
+    """Values outside the three declared enumerations, with their counts."""
+    w = _w(spark, sf)
+    return quality.bad_values(w.raw.transactions, "transactions", {"channel": S.CHANNELS, "currency": S.CURRENCIES}).unionByName(
+        quality.bad_values(w.settlement_batches, "settlement_batches", {"status": S.BATCH_STATUSES}))
 
 
 @query("fill_defaults", with_ctes(["raw_transactions"], """
@@ -505,27 +510,26 @@ def fill_defaults(spark, sf):
     return quality.fill_defaults(t, S.COLUMN_DEFAULTS["transactions"])
 
 
-@query("dq_row_rules", with_ctes(["raw_transactions"], """
-SELECT 'rule' AS check_name, 'transactions' AS model, column_name, CAST(failures AS BIGINT) AS failures FROM (
-SELECT 'auth_code' AS column_name, COUNT(*) FILTER (WHERE (auth_code IS NOT NULL) <> (status_id = 1)) AS failures,
-  1 AS o FROM raw_transactions
-UNION ALL SELECT 'failure_reason', COUNT(*) FILTER (WHERE (failure_reason IS NOT NULL) <> (status_id IN (2, 5))), 2
-  FROM raw_transactions
-UNION ALL SELECT 'settled_at', COUNT(*) FILTER (WHERE (settled_at IS NOT NULL) <> (status_id = 6)), 3
-  FROM raw_transactions
-UNION ALL SELECT 'settled_at', COUNT(*) FILTER (WHERE COALESCE(NOT (date_diff('day', CAST(initiated_at AS DATE),
-  settled_at) BETWEEN 1 AND 3), false)), 4 FROM raw_transactions
-UNION ALL SELECT 'device_id', COUNT(*) FILTER (WHERE device_id IS NOT NULL AND channel NOT IN ('ONLINE', 'MOBILE')), 5
-  FROM raw_transactions
-UNION ALL SELECT 'processed_at', COUNT(*) FILTER (WHERE COALESCE(NOT (epoch(processed_at) - epoch(initiated_at)
-  BETWEEN 1 AND 8), false)), 6 FROM raw_transactions
-UNION ALL SELECT 'fee', COUNT(*) FILTER (WHERE COALESCE(NOT (CAST(fee AS DOUBLE) BETWEEN abs(CAST(amount AS DOUBLE)) * 0.015 + 0.10
-  AND abs(CAST(amount AS DOUBLE)) * 0.03 + 0.50), false)), 7 FROM raw_transactions
-UNION ALL SELECT 'net_amount', COUNT(*) FILTER (WHERE COALESCE(net_amount <> amount - fee, false)), 8
-  FROM raw_transactions)"""))
+_ROW_RULES = [
+    ("auth_code_iff_approved", "auth_code", "(auth_code IS NOT NULL) <> (status_id = 1)"),
+    ("reason_iff_declined_or_failed", "failure_reason", "(failure_reason IS NOT NULL) <> (status_id IN (2, 5))"),
+    ("settled_iff_settled", "settled_at", "(settled_at IS NOT NULL) <> (status_id = 6)"),
+    ("settled_1_to_3_days", "settled_at",
+     "COALESCE(NOT (date_diff('day', CAST(initiated_at AS DATE), settled_at) BETWEEN 1 AND 3), false)"),
+    ("device_only_online", "device_id", "device_id IS NOT NULL AND channel NOT IN ('ONLINE', 'MOBILE')"),
+    ("ip_iff_online", "ip_address", "(ip_address IS NOT NULL) <> (channel IN ('ONLINE', 'MOBILE'))"),
+    ("processed_1_to_8_s", "processed_at", "COALESCE(NOT (epoch(processed_at) - epoch(initiated_at) BETWEEN 1 AND 8), false)"),
+    ("fee_in_band", "fee", "COALESCE(NOT (CAST(fee AS DOUBLE) BETWEEN abs(CAST(amount AS DOUBLE)) * 0.015 + 0.10 "
+                           "AND abs(CAST(amount AS DOUBLE)) * 0.03 + 0.50), false)"),
+    ("net_is_amount_minus_fee", "net_amount", "COALESCE(net_amount <> amount - fee, false)"),
+]
+
+
+@query("dq_row_rules", with_ctes(["raw_transactions"], " UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, 'transactions' AS model, '{col}' AS column_name, "
+    f"COUNT(*) FILTER (WHERE {fails}) AS failures FROM raw_transactions" for name, col, fails in _ROW_RULES)))
 def dq_row_rules(spark, sf):
-    r = quality.row_rules(_w(spark, sf).raw.transactions)
-    return r.select(F.lit("rule").alias("check_name"), "model", "column_name", "failures")
+    return quality.row_rules(_w(spark, sf).raw.transactions).select("check_name", "model", "column_name", "failures")
 
 
 @query("dq_one_default_card", with_ctes(["raw_payment_cards"], """
@@ -538,7 +542,7 @@ def dq_one_default_card(spark, sf):
 @query("fk_orphans", with_ctes(*_fk_sql()))
 def fk_orphans(spark, sf):
     """Orphan child rows per declared foreign key."""
-    w = _w(spark, sf)
+    w = _w(spark, sf).pin("transactions")
     return quality.fk_orphans(w.raw, tables={"settlement_batches": w.settlement_batches})
 
 
@@ -683,12 +687,12 @@ def _live(spark, sf):
     return _w(spark, sf).raw.live_transactions
 
 
-def _range_count(width_s: int, where: str = "TRUE", extra: str = "") -> str:
+def _range_count(width_s: int, where: str = "TRUE", extra: str = "", source: str = "live_transactions") -> str:
     return f"""
   lw AS (
     SELECT *, COUNT(*) OVER (PARTITION BY client_id ORDER BY epoch_us(initiated_at)
                              RANGE BETWEEN {width_s * 1_000_000} PRECEDING AND CURRENT ROW) AS n_in_window{extra}
-    FROM live_transactions WHERE client_id IS NOT NULL AND ({where}))"""
+    FROM {source} WHERE client_id IS NOT NULL AND ({where}))"""
 
 
 @query("fraud_velocity_burst", with_ctes(["live_transactions"], "," + _range_count(600) + """

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from paylake import schemas as S
 from paylake.operators import ingest
-from paylake.plans.catalog import query, warehouse
+from paylake.plans.registry import query, warehouse
 from paylake.plans.oracle_base import with_ctes
-from paylake.plans.queries_ops import TS_MS, TXN_COLS, _corrupted
+from paylake.plans.queries_ops import TS_MS, TXN_COLS, _corrupted, _range_count
 from paylake.session import shared_dir
-from paylake.sources import raw_zone
-from paylake.streaming import landing
+from paylake.sources import commits, raw_zone
+from paylake.streaming import dedup, detectors, landing
 
 LANDED = ["transactions", "clients", "merchants", "countries", "refunds", "fraud_alerts"]
 RUN_1, RUN_2 = "2026-01-01 01:00:00", "2026-01-02 01:00:00"   # landing times of two loader runs
@@ -93,7 +93,7 @@ def ledger_load(spark, sf):
     schema = warehouse(spark, sf).raw.transactions.schema
     raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 01:00:00", schema=schema)
     raw_zone.ledger_load(spark, root, "transactions", ledger, target, run_ts="2026-01-01 02:00:00", schema=schema)
-    return spark.read.parquet(target).drop("source_file", "load")
+    return commits.read_loads(spark, target, ledger).drop("source_file", "load")
 
 
 @query("unprocessed_files", with_ctes(["raw_transactions"], """
@@ -132,7 +132,7 @@ def landing_stream(spark, sf):
     query with an ``availableNow`` trigger; returns the landed rows (the
     landing-date and batch partition columns left out)."""
     _, raw_root, _ = _land(spark, sf)
-    return spark.read.parquet(raw_root).drop("year", "month", "day", "batch")
+    return spark.read.parquet(raw_root).drop("year", "month", "day", "batch", ingest.RESCUED)
 
 
 LAND_ALL = [t for t, _, _, _ in S.TABLE_CATALOGUE]
@@ -159,8 +159,8 @@ def stream_dedup(spark, sf):
     """Keyed stream dedup of the landed rows; which copy of a duplicated key
     survives depends on arrival, so the result is the surviving key set."""
     base, raw_root, _ = _land(spark, sf)
-    q = landing.start_dedup(spark, raw_root, base + "/dedup", base + "/ckpt_dedup", S.RAW_SCHEMAS["transactions"])
-    q.awaitTermination()
+    dedup.start_dedup(spark, raw_root, "transactions", S.RAW_SCHEMAS["transactions"], base + "/dedup",
+                      base + "/ckpt_dedup").awaitTermination()
     return spark.read.parquet(base + "/dedup").select("txn_id")
 
 
@@ -183,3 +183,74 @@ def stream_velocity(spark, sf):
     q = landing.start_velocity(spark, base + "/in", base + "/out", base + "/ckpt", live.schema)
     q.awaitTermination()
     return spark.read.parquet(base + "/out")
+
+
+# arrival of the live transactions: hours late by transaction, in three batches by arrival time
+_ARRIVAL = """, arriving AS (
+  SELECT *, initiated_at + to_hours(CAST(CASE WHEN (txn_id // 100) % 50 = 0 THEN 72 ELSE (txn_id // 100 + txn_id % 100) % 5 END AS INTEGER)) AS arrives
+  FROM live_transactions),
+span AS (SELECT min(initiated_at) AS lo, max(initiated_at) - min(initiated_at) AS w FROM live_transactions),
+batched AS (
+  SELECT a.*, CASE WHEN arrives < lo + w / 3 THEN 0 WHEN arrives < lo + w * 2 / 3 THEN 1 ELSE 2 END AS b
+  FROM arriving a, span),
+marks AS (
+  SELECT max(initiated_at) FILTER (b = 0) - INTERVAL 6 HOUR AS m0, max(initiated_at) FILTER (b <= 1) - INTERVAL 6 HOUR AS m1
+  FROM batched),
+judged AS (SELECT b.*, (b = 1 AND initiated_at < m0) OR (b = 2 AND initiated_at < m1) AS late FROM batched b, marks)"""
+
+
+def _arrive(spark, sf, detector, name):
+    """Run a live detector over the live transactions, arriving in three batches out of time
+    order, some of them after the watermark; each batch is a run of its own on one checkpoint."""
+    live = warehouse(spark, sf).raw.live_transactions
+    base = _scratch(spark, name)
+    span = live.agg(F.min("initiated_at").alias("lo"), F.max("initiated_at").alias("hi")).first()
+    event, part_of = F.floor(F.col("txn_id") / 100), F.col("txn_id") % 100
+    lateness = F.when(event % 50 == 0, 72).otherwise((event + part_of) % 5)
+    arrives = F.timestamp_add("HOUR", lateness.cast("int"), F.col("initiated_at"))
+    cuts = [commits.ntz(span.lo + (span.hi - span.lo) * k / 3) for k in (1, 2)] if span.lo else [F.lit(None)] * 2
+    parts = [arrives < cuts[0], (arrives >= cuts[0]) & (arrives < cuts[1]), arrives >= cuts[1]]
+    for part in parts:
+        live.filter(part).write.mode("append").parquet(base + "/in")
+        detectors.start(spark, detector, spark.readStream.schema(live.schema).parquet(base + "/in"), base + "/out",
+                        base + "/late", base + "/state", base + "/ckpt", delay_s=6 * 3600).awaitTermination()
+    return base
+
+
+def _live(spark, sf, detector, name):
+    base = _arrive(spark, sf, detector, name)
+    flagged = detectors.read_flagged(spark, detector, base + "/out")
+    return flagged.unionByName(detectors.undecided(spark, detector, base + "/state", base + "/ckpt"))
+
+
+@query("live_velocity", with_ctes(["live_transactions"], _ARRIVAL + "," + _range_count(600, "NOT late", source="judged") + """
+SELECT txn_id, client_id, initiated_at, n_in_window FROM lw WHERE n_in_window >= 5"""))
+def live_velocity(spark, sf):
+    """Velocity bursts found live in three batches out of time order: those of the batch
+    detector over all rows that came before the watermark had passed them."""
+    return _live(spark, sf, detectors.VELOCITY, "velocity")
+
+
+@query("live_card_testing", with_ctes(["live_transactions"], _ARRIVAL + "," + _range_count(
+    900, "NOT late AND channel = 'ONLINE' AND amount BETWEEN 0.01 AND 1.99", source="judged") + """
+SELECT txn_id, client_id, amount, initiated_at, n_in_window FROM lw WHERE n_in_window >= 10"""))
+def live_card_testing(spark, sf):
+    return _live(spark, sf, detectors.CARD_TESTING, "cards")
+
+
+@query("live_spree", with_ctes(["live_transactions"], _ARRIVAL + "," + _range_count(
+    135 * 60, "NOT late AND currency <> 'USD'",
+    extra=", CAST(len(list_distinct(list(currency) OVER (PARTITION BY client_id ORDER BY epoch_us(initiated_at) "
+          "RANGE BETWEEN 8100000000 PRECEDING AND CURRENT ROW))) AS INTEGER) AS n_currencies", source="judged") + """
+SELECT txn_id, client_id, initiated_at, n_in_window, n_currencies FROM lw
+WHERE n_in_window >= 3 AND n_currencies >= 2"""))
+def live_spree(spark, sf):
+    return _live(spark, sf, detectors.SPREE, "spree")
+
+
+@query("live_late_rows", with_ctes(["live_transactions"], _ARRIVAL + """
+SELECT txn_id, client_id, initiated_at, 'late' AS reason FROM judged WHERE late"""))
+def live_late_rows(spark, sf):
+    """Transactions that arrived after the watermark had passed them: set aside with the reason."""
+    base = _arrive(spark, sf, detectors.VELOCITY, "late")
+    return detectors.read_aside(spark, base + "/late").select("txn_id", "client_id", "initiated_at", "reason")

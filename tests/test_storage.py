@@ -10,8 +10,8 @@ from paylake.operators import ingest
 from paylake.plans.catalog import warehouse
 from paylake.plans.queries_ops import _corrupted
 from paylake.session import shared_dir
-from paylake.sources import raw_zone
-from paylake.streaming import landing
+from paylake.sources import commits, raw_zone
+from paylake.streaming import dedup, landing
 
 from conftest import SF_SMALL
 
@@ -63,7 +63,7 @@ def test_empty_and_tiny_files(spark):
     for _ in range(2):
         out = raw_zone.ledger_load(spark, root, "transactions", ledger, wh)
         assert [os.path.basename(r.file_path) for r in out["unloaded"].collect()] == ["tiny.parquet"]
-    done = {os.path.basename(r.file_path): r.n_rows for r in spark.read.parquet(ledger).collect()}
+    done = {os.path.basename(r.file_path): r.n_rows for r in raw_zone.read_ledger(spark, ledger).collect()}
     assert done.pop("empty.parquet") == 0 and list(done.values()) == [50]
     assert spark.read.parquet(wh).count() == 50
 
@@ -106,7 +106,7 @@ def test_crash_between_the_two_writes_loads_once(spark, monkeypatch):
     base, root, ledger, wh = _zone(spark)
     _land(spark, root, _ids(0, 100)(spark))
     with monkeypatch.context() as m:
-        m.setattr(raw_zone, "_empty_files", lambda *a: 1 / 0)   # after the data, before the ledger
+        m.setattr(commits, "commit", lambda *a: 1 / 0)   # after the data, before the ledger
         try:
             raw_zone.ledger_load(spark, root, "transactions", ledger, wh, run_ts=RUN)
         except ZeroDivisionError:
@@ -115,7 +115,7 @@ def test_crash_between_the_two_writes_loads_once(spark, monkeypatch):
     _land(spark, root, _ids(100, 130)(spark))
     raw_zone.ledger_load(spark, root, "transactions", ledger, wh, run_ts="2026-01-02 01:00:00")
     assert sorted(r.txn_id for r in spark.read.parquet(wh).collect()) == list(range(130))
-    assert spark.read.parquet(ledger).agg(F.sum("n_rows")).first()[0] == 130
+    assert raw_zone.read_ledger(spark, ledger).agg(F.sum("n_rows")).first()[0] == 130
 
 
 def test_a_failing_store_is_not_an_empty_table(spark):
@@ -150,8 +150,8 @@ def test_stream_dedup_keeps_late_and_undated_rows(spark):
     times = [None, "2026-03-01 00:00:00", "2026-01-01 00:00:00"]
     for n, ts in enumerate(times):                          # three batches, the latest event first
         df = spark.range(5 * n, 5 * n + 8).select(F.col("id").alias("txn_id"), F.lit(ts).cast("timestamp_ntz").alias("created_at"))
-        df.coalesce(1).write.mode("append").parquet(base + "/in")
-        landing.start_dedup(spark, base + "/in", base + "/out", base + "/ckpt", None).awaitTermination()
+        df.coalesce(1).write.mode("append").parquet(base + "/in/table_name=transactions")
+        dedup.start_dedup(spark, base + "/in", "transactions", df.schema, base + "/out", base + "/ckpt").awaitTermination()
     assert sorted(r.txn_id for r in spark.read.parquet(base + "/out").collect()) == list(range(18))
 
 
@@ -200,7 +200,7 @@ def test_unreadable_file_is_reported_and_others_load(spark):
                                run_ts="2026-01-01 02:00:00")
     assert spark.read.parquet(base + "/wh").count() == 20
     assert [r.file_path.endswith("broken.parquet") for r in out["unloaded"].collect()] == [True]
-    assert not spark.read.parquet(base + "/ledger").filter(F.col("file_path").contains("broken")).count()
+    assert not raw_zone.read_ledger(spark, base + "/ledger").filter(F.col("file_path").contains("broken")).count()
 
 
 def test_bucketed_tables_join_without_exchange(spark):
