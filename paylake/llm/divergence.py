@@ -31,8 +31,8 @@ LEAST_DOCS = 30         # documents of a language that a kept term occurs in
 TOP_TERMS = 50          # terms reported of each group
 SMOOTHING = 5           # added to every count
 STEPS = 3               # a share is in units of 1000**-STEPS
-BLOCK_TERMS = 32_768    # terms of a block, about
-HELD_TERMS = 200_000    # (group, term) counts a task holds before it passes them on
+BLOCK_TERMS = 4_096     # terms of a block, about
+HELD_TERMS = 400_000    # (group, term) counts a task holds before it passes them on
 # ASCII letters and all bytes of letters beyond ASCII, of text in lower case
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 
@@ -42,34 +42,28 @@ def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     within each task before the shuffle. Null text, language and source count as empty."""
     ship(docs.sparkSession)
 
-    def rows(held: dict[tuple[str, str], dict[bytes, list[int]]]) -> pa.RecordBatch:
-        flat = [(k[0], k[1], t, c[0], c[1]) for k, terms in held.items() for t, c in terms.items()]
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        cols = list(zip(*flat)) or [[]] * 5
-        cols = [pa.array(c, kind) for c, kind in zip(cols, kinds)]
-        cols[2] = cols[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(cols, ["lang", "source", "term", "n", "docs"])
+    def rows(group: tuple[str, str], uses: Counter, found_in: Counter) -> pa.RecordBatch:
+        lang_, source_ = (pa.repeat(pa.scalar(g, pa.string()), len(uses)) for g in group)
+        terms = list(uses)
+        return pa.RecordBatch.from_arrays(
+            [lang_, source_, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(uses.values(), pa.int64()),
+             pa.array(map(found_in.__getitem__, terms), pa.int64())], ["lang", "source", "term", "n", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         size = 0
         for batch in batches:
             for a, b, t in zip(*(batch.column(i) for i in range(3))):
-                mine = held.setdefault((a.as_py(), b.as_py()), {})
-                size -= len(mine)
-                # bytes.lower() changes A-Z only
-                for term, n in Counter(TERM.findall(t.as_py().encode().lower())).items():
-                    c = mine.get(term)
-                    if c is None:
-                        mine[term] = [n, 1]
-                    else:
-                        c[0] += n
-                        c[1] += 1
-                size += len(mine)
+                uses, found_in = held.setdefault((a.as_py(), b.as_py()), (Counter(), Counter()))
+                size -= len(uses)
+                terms = TERM.findall(t.as_py().encode().lower())    # bytes.lower() changes A-Z only
+                uses.update(terms)
+                found_in.update(set(terms))
+                size += len(uses)
                 if size > HELD_TERMS:
-                    yield rows(held)
+                    yield from (rows(g, *counts) for g, counts in held.items())
                     held, size = {}, 0
-        yield rows(held)
+        yield from (rows(g, *counts) for g, counts in held.items())
 
     df = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n)
                        for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
@@ -97,37 +91,17 @@ def shares(count: np.ndarray, total: int) -> np.ndarray:
 def gallop(short: np.ndarray, long: np.ndarray, stride: int = 64) -> np.ndarray:
     """For each of ``short`` the first place in ``long`` that is not below it (both ascending).
 
-    Every ``stride``-th value gallops on from the place of the one before it, in doubling
-    steps; the values in between gallop side by side from their leader's place."""
-    place = np.zeros(len(short), np.int64)
-    if not len(long):
-        return place
-    at = 0
-    for lead in range(0, len(short), stride):
-        at = place[lead] = _gallop(short[lead:lead + 1], long, np.array([at]))[0]
-    starts = np.repeat(place[::stride], stride)[:len(short)]
-    return _gallop(short, long, starts)
-
-
-def _gallop(values: np.ndarray, long: np.ndarray, low: np.ndarray) -> np.ndarray:
-    low, step, n = low.copy(), np.ones(len(values), np.int64), len(long)
-    high = low.copy()
-    # doubling steps until the value is not above
-    live = np.flatnonzero((high < n) & (long[np.minimum(high, n - 1)] < values))
-    while len(live):
-        low[live] = high[live] + 1
-        high[live] = np.minimum(high[live] + step[live], n)
-        step[live] *= 2
-        live = live[(high[live] < n) & (long[np.minimum(high[live], n - 1)] < values[live])]
-    # halving between the last two places
-    live = np.flatnonzero(low < high)
-    while len(live):
-        middle = (low[live] + high[live]) // 2
-        below = long[middle] < values[live]
-        low[live[below]] = middle[below] + 1
-        high[live[~below]] = middle[~below]
-        live = live[low[live] < high[live]]
-    return low
+    ``stride`` values at a time gallop on together: from the place of the last one, in doubling
+    steps, until the stretch holds them all; each is then found in the stretch by halving."""
+    place, low, n = np.zeros(len(short), np.int64), 0, len(long)
+    for at in range(0, len(short), stride):
+        values = short[at:at + stride]
+        high, step, last = low, 1, values[-1]
+        while high < n and long[high] < last:
+            high, step = high + step, 2 * step
+        place[at:at + stride] = low + long[low:high + 1].searchsorted(values)
+        low = place[at + len(values) - 1]
+    return place
 
 
 def merge_price(a_ids: np.ndarray, a_counts: np.ndarray, a_total: int,
