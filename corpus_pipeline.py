@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and
 reread as the next stage's ``docs``; all but the last keep the columns of documents.
+
+In every stage a null text counts as empty (and stays null where the text is kept), a null
+doc_id is a row like any other, repeated rows are treated one by one except where one row of
+a group stays, an empty table gives an empty result, and other columns pass through.
 """
 from __future__ import annotations
 

@@ -8,14 +8,14 @@ changed since they were put there are passed over. A letter without a piece beco
 UTF-8 bytes.
 
 Two neighbours that stand side by side in no piece are never merged across, which is read
-off the vocabulary: in particular no piece holds a space mark behind another letter. Texts
-are therefore cut before space marks and around letters of one-letter pieces, and a chunk
-not met before is cut at its other such places; the parts' merges cannot meet, so parts and
-chunks that come again are not merged again. If a vocabulary has a piece across a space
+off the vocabulary: in particular no piece holds a space mark or a sign behind a letter. Texts
+are therefore cut before space marks, after words and around letters of one-letter pieces, and a
+chunk not met before is cut at its other such places; the parts' merges cannot meet, so parts
+and chunks that come again are not merged again. If a vocabulary has a piece across a space
 mark, whole texts are one chunk.
 
-Every Arrow batch is also encoded by the sentencepiece library, text by text, and the
-ids are compared; see ``encode``.
+In every Arrow batch the sentencepiece library encodes all parts that are new to it, in one
+call, and the ids are compared; ``encode`` can also have it encode every whole text.
 """
 from __future__ import annotations
 
@@ -93,11 +93,21 @@ class Encoder:
         else:
             joined = set().union(*pieces.beside)
             alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in joined))
-            self.cut = re.compile((f"[{alone}]|" if alone else "") + f"{MARK}*[^{MARK}{alone}]+|{MARK}+")
+            # letters that no sign follows in a piece
+            odd, found = "", None
+            while found != "":
+                word = f"[^\\W\\d_{re.escape(odd)}]"
+                found = "".join({p[0] for p in pieces.beside if re.match(word, p[0]) and not re.match(word, p[1])})
+                odd += found
+            sign = f"(?:(?!{word})[^{MARK}{alone}])"
+            self.cut = re.compile(f"{MARK}*{sign}*{word}+|{MARK}*{sign}+|{MARK}+" + (f"|[{alone}]" if alone else ""))
         self.ids: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
         self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
         self.bytes = 0
+        self.code = {p: pack("<I", i) for p, i in pieces.ids.items()}           # ids and text of pieces, for joining
+        self.said = {p: pieces.text[i] for p, i in pieces.ids.items()}
+        self.unlike: set[str] = set()   # parts for which the library gave other ids
 
     def chunks(self, text: str) -> list[str]:
         """The normalised text in chunks (an empty text has none)."""
@@ -119,9 +129,8 @@ class Encoder:
     def merge(self, part: str) -> list[int]:
         """Ids of one part by the agenda, which is a list in place for short parts and a heap
         for long ones. The order is the same: least cost, then leftmost."""
-        symbols = self._merge_short(part) if len(part) <= SHORT else self._merge_long(part)
         out, ids, byte = [], self.v.ids, self.v.byte
-        for s in symbols:
+        for s in self._merge_short(part) if len(part) <= SHORT else self._merge_long(part):
             token = ids.get(s)
             if token is None:
                 out.extend(map(byte.__getitem__, s.encode()))
@@ -129,6 +138,21 @@ class Encoder:
                 out.append(token)
         return out
 
+    def _learn(self, parts: list[str]) -> None:
+        """Encode and decode new parts."""
+        code, said, short, ids, shown, size = self.code, self.said, self._merge_short, self.ids, self.shown, 0
+        for part in parts:
+            symbols = short(part) if len(part) <= SHORT else self._merge_long(part)
+            try:
+                ids[part] = packed = b"".join([code[s] for s in symbols])
+                shown[part] = "".join([said[s] for s in symbols])
+            except KeyError:    # a letter without a piece: its bytes
+                found = self.merge(part)
+                ids[part] = packed = pack(f"<{len(found)}I", *found)
+                shown[part] = self.show(found)
+            size += PART_COST + 2 * len(part) + len(packed)
+        self.bytes += size
+
     def _merge_short(self, part: str) -> list[str]:
         cost, symbols = self.v.cost.get, list(part)
         agenda = [cost(pair, NEVER) for pair in map(add, part, part[1:])]   # by place: cost of the pair that begins there
@@ -192,16 +216,18 @@ class Encoder:
         """The text of a whole sequence: the space in front is taken off."""
         return self.show(ids).removeprefix(" ")
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian 32-bit integers, with begin and end; decoded text) of each text."""
+    def encode(self, texts: list[str], library: Library | None = None) -> list[tuple[bytes, str, bool]]:
+        """(ids as little-endian 32-bit integers, with begin and end; decoded text; whether the
+        library gives the same ids for all its parts) of each text. Without ``library`` nothing is compared."""
         if self.bytes > CACHE_BYTES:
             self.older = self.ids, self.shown
             self.ids, self.shown, self.bytes = {}, {}, 0
         chunks = [self.chunks(t) for t in texts]
         cut = {c: self.parts(c) for c in self._recall(set().union(*chunks).difference(self.ids))}
-        for part in self._recall(set().union(*cut.values()).difference(self.ids)):
-            found = self.merge(part)
-            self._keep(part, pack(f"<{len(found)}I", *found), self.show(found))
+        new = list(self._recall(set().union(*cut.values()).difference(self.ids)))
+        self._learn(new)
+        if library is not None:
+            self.unlike.update(library.differing(new, self.ids))
         ids, shown = self.ids, self.shown
         for chunk, parts in cut.items():
             if len(parts) > 1:
@@ -209,7 +235,8 @@ class Encoder:
         begin, end = pack("<I", self.v.begin), pack("<I", self.v.end)
         # a letter's bytes are all in one chunk, so chunks are shown one by one
         return [(b"".join([begin, *map(self.ids.__getitem__, c), end]),
-                 "".join(map(self.shown.__getitem__, c)).removeprefix(" ")) for c in chunks]
+                 "".join(map(self.shown.__getitem__, c)).removeprefix(" "),
+                 not self.unlike or self.unlike.isdisjoint(p for x in c for p in self.parts(x))) for c in chunks]
 
     def _recall(self, new: set[str]) -> set[str]:
         """Those of ``new`` that are not remembered; parts of the older generation move to the younger."""
@@ -230,11 +257,22 @@ class Library:
     def __init__(self, pieces: Pieces):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_proto=pieces.content)
+        # a letter without a piece that stands beside no other, so it never merges: put in front of a
+        # part, it keeps the space that the library adds away from it
+        self.wall = next((c for c in map(chr, range(1, 32)) if c not in pieces.ids and not any(c in p for p in pieces.beside)), "")
+        self.front = len(self.model.encode(self.wall)) if self.wall else 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode(texts, add_bos=True, add_eos=True, num_threads=1)
         return [np.array(ids, "<u4").tobytes() for ids in found]
 
+    def differing(self, parts: list[str], ids: dict[str, bytes]) -> list[str]:
+        """Those of ``parts`` for which the library gives other ids (all, if they cannot be told apart
+        from the space in front)."""
+        found = self.model.encode([self.wall + p.replace(MARK, " ") for p in parts], num_threads=1)
+        n = self.front
+        return [p for p, got in zip(parts, found) if pack(f"<{len(got) - n}I", *got[n:]) != ids[p]]
+
 
 _workers: dict[bytes, tuple[Encoder, Library]] = {}
 
@@ -255,12 +293,12 @@ def default_path() -> str:
 
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text",
-           ids: bool = True) -> DataFrame:
+           ids: bool = True, whole_texts: bool = False) -> DataFrame:
     """Encode every whole text with begin and end: (key, n_tokens, token_ids array, decoded,
     ids_sha256, decoded_sha256, as_library).
 
-    ``as_library`` says whether the sentencepiece library gives the same ids for the same
-    whole text. Null text counts as empty: two ids, decoded to the empty text. A null key
+    ``as_library`` says whether the sentencepiece library gives the same ids for all parts of
+    the text and, with ``whole_texts``, for the whole text too. Null text counts as empty: two ids, decoded to the empty text. A null key
     stays null; repeated rows give repeated rows; an empty table gives an empty result;
     other columns of ``docs`` are not read, so their names cannot clash. A very long text
     is one slice of its own. ``ids=False`` leaves ``token_ids`` and ``decoded`` out.
@@ -272,8 +310,10 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
         for batch in batches:
             at = 0
             for texts in slices((t.as_py() or "" for t in batch.column(1)), SLICE_CHARS):
-                got = encoder.encode(texts)
-                same = [a == b for (a, _), b in zip(got, library.encode(texts))]
+                got = encoder.encode(texts, library)
+                same = [g[2] for g in got]
+                if whole_texts:
+                    same = [ok and g[0] == ids_ for ok, g, ids_ in zip(same, got, library.encode(texts))]
                 sizes = [len(g[0]) // 4 for g in got]
                 cols = [batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64())]
                 if ids:

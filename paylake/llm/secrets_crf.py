@@ -429,7 +429,9 @@ def mask_spans(text: str, spans: str, mark: str = "[SECRET]") -> str:
 
 def redact(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with every secret replaced; null texts stay null, columns and other values unchanged.
-    A column ``n_chars`` follows the new text's length."""
+    A column ``n_chars`` follows the new text's length. Rows pass one by one, so nulls in other
+    columns, repeated rows and ties change nothing; an empty table gives an empty result; a
+    very long text is a slice of its own; other columns are passed by place, whatever their names."""
     sent = ship(docs.sparkSession).broadcast(model or Model.empty())
     fitted = model is not None
     place = docs.columns.index(text)

@@ -191,7 +191,8 @@ def keep_first(docs: DataFrame, size: int = 3, max_bits: int = 3, key: str = "do
 
     Rows are told apart by key and text, so null keys or a key of several texts are rows
     like any other: equal texts are always of one component, and a component's least
-    (key, text digest), null keys last, is of no other one."""
+    (key, text digest), null keys last, is of no other one. A null text counts as empty; an
+    empty table gives an empty result; all columns pass through, whatever their names."""
     name = F.col(f"`{key}`")
     digest = F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
     row = F.struct(name.isNull().alias("none"), name.alias("_head_key"), digest.alias("_head_digest"))
@@ -199,6 +200,6 @@ def keep_first(docs: DataFrame, size: int = 3, max_bits: int = 3, key: str = "do
                     "fingerprints")
     heads = settle(rooted(marked, max_bits, "row").groupBy("root").agg(F.min("least").alias("least"))
                    .select("least._head_key", "least._head_digest"), "heads")
-    rows = docs.withColumn("_digest", digest)
-    kept = rows.join(heads, name.eqNullSafe(F.col("_head_key")) & (F.col("_digest") == F.col("_head_digest")), "left_semi")
-    return kept.dropDuplicates([key, "_digest"]).drop("_digest")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), name.alias("_key"), digest.alias("_digest"))
+    same = F.col("_key").eqNullSafe(F.col("_head_key")) & (F.col("_digest") == F.col("_head_digest"))
+    return rows.join(heads, same, "left_semi").dropDuplicates(["_key", "_digest"]).select("_row.*")

@@ -256,6 +256,9 @@ def test_one_row_stays_of_every_component(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = Counter((r.doc_id, r.text or "") for r in simhash.keep_first(df).collect())
     assert got == Counter([(None, a), (None, b), (1, c), (3, d), (3, e), (None, "")])
+    clash = df.selectExpr("*", "1 AS _digest", "2 AS _head_key", "3 AS _head_digest", "4 AS _row", "5 AS _key", "6 AS fp")
+    kept = simhash.keep_first(clash)
+    assert kept.columns == clash.columns and Counter((r.doc_id, r.text or "") for r in kept.collect()) == got
 
 
 @pytest.mark.parametrize("bits", [0, 1, 2, 3, 5])
