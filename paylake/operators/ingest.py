@@ -120,22 +120,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, F.xxhash64(key))
 
 
-def corrupt(messages: DataFrame, id_col: Column) -> DataFrame:
-    """Deterministically damage some messages for dead-letter tests:
-    broken JSON (a ``;`` for the first ``:``), a bare array, a type
-    mismatch, a null payload, a message without the envelope (which is
-    valid), a NULL, empty or blank value, and objects without any field."""
-    v, m = F.col("value"), id_col % 50
-    return messages.withColumn("value", F.when(m == 7, F.regexp_replace(v, r'^\{"_meta":', '{"_meta";'))
-                               .when(m == 11, F.lit("[1,2]"))
-                               .when(m == 13, F.regexp_replace(v, r'"txn_id":[0-9]+', '"txn_id":"oops"'))
-                               .when(m == 17, F.regexp_extract(v, r'"payload":(\{.*\})\}$', 1))
-                               .when(m == 19, F.lit(None).cast("string")).when(m == 21, F.lit("")).when(m == 23, F.lit("  "))
-                               .when(m == 25, F.lit("{}")).when(m == 27, F.lit('{"foo":1}')).when(m == 29, F.lit('{"payload":{}}'))
-                               .when(m == 15, F.regexp_replace(v, r'"payload":\{.*\}\}$', '"payload":null}'))
-                               .otherwise(v))
-
-
 RESCUED = "_rescued"   # column of landed tables for fields that their schema lacks
 
 META = T.StructType([T.StructField("table", T.StringType()), T.StructField("op", T.StringType()),
@@ -247,8 +231,12 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
+def union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def union_aligned(parts: Sequence[DataFrame], schema: T.StructType) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [align(p, schema) for p in parts])
+    return union([align(p, schema) for p in parts])
 
 
 def insert_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],

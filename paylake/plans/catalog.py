@@ -26,3 +26,4 @@ for _name in Warehouse.MODELS:
 # further operator families register themselves on import
 from paylake.plans import queries_ops  # noqa: E402,F401
 from paylake.plans import queries_stream  # noqa: E402,F401
+from paylake.plans import queries_flow  # noqa: E402,F401

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paylake import schemas as S
 from paylake.operators import fraud, ingest, quality, recon
 from paylake.plans.registry import query, warehouse
+from paylake.plans.fixtures import corrupt
 from paylake.plans.oracle_base import latest_sql, register, with_ctes
 from paylake.plans.oracle_models import initcap
 
@@ -165,7 +166,7 @@ def _corrupted(w):
     """Messages as consumed from the topic, some damaged in transit."""
     m = ingest.envelope(ingest.spread(w.raw.transactions, "reference"), "transactions", "r", TS_MS, "txn_id")
     m = m.withColumn("_id", F.coalesce(F.col("message_key").cast("bigint"), F.lit(0)))
-    return ingest.corrupt(m, F.col("_id")).drop("_id")
+    return corrupt(m, F.col("_id")).drop("_id")
 
 
 # the oracle damages the same messages with its own text functions
@@ -330,7 +331,7 @@ register("state_log", *_state_log_sql())
 SELECT key AS table_name, max(off) AS "offset" FROM state_log GROUP BY key
 HAVING arg_max(status, off) = 'completed'"""))
 def latest_state(spark, sf):
-    return ingest.latest_state(_state_log(_w(spark, sf)))
+    return ingest.latest_state(_state_log(_w(spark, sf).pin("transactions")))
 
 
 @query("pending_tables", with_ctes(["state_log"], """
@@ -338,7 +339,7 @@ SELECT key AS table_name FROM (SELECT DISTINCT key FROM state_log) k
 WHERE key NOT IN (SELECT key FROM state_log GROUP BY key HAVING arg_max(status, off) = 'completed')"""))
 def pending_tables(spark, sf):
     """Catalogue tables whose full load is not (or no longer) complete."""
-    w = _w(spark, sf)
+    w = _w(spark, sf).pin("transactions")
     done = ingest.latest_state(_state_log(w))
     catalogue = spark.createDataFrame([(t,) for t, _, _, _ in S.TABLE_CATALOGUE],
                                       "table_name string")

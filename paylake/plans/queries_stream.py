@@ -15,9 +15,9 @@ from paylake import schemas as S
 from paylake.operators import ingest
 from paylake.plans.registry import query, warehouse
 from paylake.plans.oracle_base import with_ctes
-from paylake.plans.queries_ops import TS_MS, TXN_COLS, _corrupted, _range_count
+from paylake.plans.queries_ops import CUTOFF, TS_MS, TXN_COLS, _corrupted, _range_count
 from paylake.session import shared_dir
-from paylake.sources import commits, raw_zone
+from paylake.sources import commits, raw_zone, state
 from paylake.streaming import dedup, detectors, landing
 
 LANDED = ["transactions", "clients", "merchants", "countries", "refunds", "fraud_alerts"]
@@ -254,3 +254,42 @@ def live_late_rows(spark, sf):
     """Transactions that arrived after the watermark had passed them: set aside with the reason."""
     base = _arrive(spark, sf, detectors.VELOCITY, "late")
     return detectors.read_aside(spark, base + "/late").select("txn_id", "client_id", "initiated_at", "reason")
+
+
+# two polls of the catalogue with rows in between; merchants are asked for again after the first
+_RESET = "merchants"
+
+
+def _polls_sql() -> str:
+    parts = []
+    for t, wm, _, _ in S.TABLE_CATALOGUE:
+        src = t if t == "settlement_batches" else "raw_" + t
+        if wm is None:
+            parts.append(f"SELECT 0 AS seq, '{t}' AS table_name, 'completed' AS status, CAST(NULL AS TIMESTAMP) AS watermark, "
+                         f"COUNT(*) AS n_rows FROM {src}")
+            continue
+        early = f"(SELECT * FROM {src} WHERE {wm} IS NULL OR {wm} <= TIMESTAMP '{CUTOFF}')"
+        parts.append(f"SELECT 0, '{t}', 'completed', MAX({wm}), COUNT(*) FROM {early}")
+        if t == _RESET:
+            parts += [f"SELECT 1, '{t}', 'reset', NULL, 0", f"SELECT 2, '{t}', 'completed', MAX({wm}), COUNT(*) FROM {src}"]
+        else:
+            mark = f"(SELECT MAX({wm}) FROM {early})"
+            parts.append(f"SELECT 2, '{t}', 'watermark', "
+                         f"greatest(MAX({wm}), {mark}), COUNT(*) FROM {src} WHERE {mark} IS NULL OR {wm} >= {mark}")
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") AS t(seq, table_name, status, watermark, n_rows)"
+
+
+@query("load_state", with_ctes(["raw_" + t for t in LAND_ALL if t != "settlement_batches"] + ["settlement_batches"], _polls_sql()))
+def load_state(spark, sf):
+    """The stored changelog after two polls with rows in between and a reset: marker, reset and
+    watermark per table, with the rows each poll read."""
+    w = warehouse(spark, sf).pin("transactions")
+    base = _scratch(spark, "polls")
+    tables = {t: w.settlement_batches if t == "settlement_batches" else getattr(w.raw, t) for t in LAND_ALL}
+    marks = {t: wm for t, wm, _, _ in S.TABLE_CATALOGUE}
+    late = F.lit(CUTOFF).cast("timestamp_ntz")
+    early = {t: df if marks[t] is None else df.filter(F.col(marks[t]).isNull() | (F.col(marks[t]) <= late)) for t, df in tables.items()}
+    state.poll(spark, early, marks, base + "/state", base + "/raw")
+    state.reset(spark, base + "/state", [_RESET])
+    state.poll(spark, tables, marks, base + "/state", base + "/raw")
+    return state.entries(spark, base + "/state")

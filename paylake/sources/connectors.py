@@ -63,3 +63,19 @@ def read_kafka_messages(spark: SparkSession, opts: dict[str, str]) -> DataFrame:
     """Kafka stream in the message shape of :mod:`paylake.streaming.landing`."""
     raw = spark.readStream.format("kafka").options(**opts).load()
     return raw.selectExpr("topic", "CAST(key AS STRING) AS message_key", "CAST(value AS STRING) AS value")
+
+
+def kafka_records(messages: DataFrame) -> DataFrame:
+    """Change messages as the Kafka sink takes them: ``topic``, ``key``, ``value`` (K1)."""
+    return messages.selectExpr("topic", "CAST(message_key AS STRING) AS key", "CAST(value AS STRING) AS value")
+
+
+def write_kafka_messages(messages: DataFrame, opts: dict[str, str]) -> None:
+    """Publish change messages; the broker partitions them by key, so versions of one row stay in order."""
+    kafka_records(messages).write.format("kafka").options(**opts).save()
+
+
+def jdbc_range_reads(spark: SparkSession, url: str, table: str, predicates: list[str], properties: dict[str, str]) -> DataFrame:
+    """Full extract of a table in the key ranges of :func:`extract.range_predicates` (S1): one
+    concurrent query per range, of even size whatever the gaps of the key."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)

@@ -245,3 +245,19 @@ def test_listing_from_a_day_on(spark):
         listed = raw_zone.list_files(spark, folder, dt.date.fromisoformat(since))
         got = [str(r.d) for r in listed.select(raw_zone.landing_day(F.col("file_path")).alias("d")).collect()]
         assert sorted(got) == [d for d in days if d >= since]
+
+
+def test_row_groups_are_bounded(spark):
+    import pyarrow.parquet as pq
+    root, _, _ = _zone(spark)
+    raw_zone.write_raw(spark.range(250_000).selectExpr("id AS txn_id").coalesce(1), root, "transactions",
+                       F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+    files = [f.replace("file://", "") for f in spark.read.parquet(root).inputFiles()]
+    groups = [pq.ParquetFile(f).metadata.row_group(i).num_rows for f in files for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert sum(groups) == 250_000 and max(groups) <= raw_zone.ROW_GROUP and len(groups) >= 3
+
+
+def test_kafka_records_carry_a_key(spark):
+    from paylake.sources import connectors
+    got = connectors.kafka_records(ingest.envelope(spark.createDataFrame([(1, "a")], SCHEMA), "t", "c", 0, "txn_id"))
+    assert got.columns == ["topic", "key", "value"] and got.first().key == "1"
