@@ -37,7 +37,7 @@ from paylake.llm.bpe_trie import slices
 from paylake.llm.common import ship
 
 MARK = "▁"            # fixed value: how the vocabulary writes a space
-CACHE_BYTES = 100_000_000  # of parts and chunks remembered by a worker, twice at most
+CACHE_BYTES = 160_000_000  # of parts and chunks remembered by a worker, twice at most
 SLICE_CHARS = 1_000_000    # characters encoded and compared at once
 PART_COST = 400            # bytes of a remembered part besides its letters and ids
 SHORT = 48                 # letters of a part whose agenda is a plain list
@@ -100,7 +100,7 @@ class Encoder:
                 found = "".join({p[0] for p in pieces.beside if re.match(word, p[0]) and not re.match(word, p[1])})
                 odd += found
             sign = f"(?:(?!{word})[^{MARK}{alone}])"
-            self.cut = re.compile(f"{MARK}*{sign}*{word}+|{MARK}*{sign}+|{MARK}+" + (f"|[{alone}]" if alone else ""))
+            self.cut = re.compile(f"{MARK}*{word}+|{MARK}*{sign}+{word}*|{MARK}+" + (f"|[{alone}]" if alone else ""))
         self.ids: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
         self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
