@@ -49,7 +49,7 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Proprietary", "All rights reserved. Unauthorized copying of this file, via any medium is strictly prohibited"),
 )
-# notices of less than five words; the SQL of the first list knows whole shingles only
+# notices of less than five words
 SHORT_TEMPLATES = (
     ("All-rights-reserved", "All rights reserved"),
 )

@@ -96,11 +96,11 @@ def op10_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_windows", sql.LICENSES)
 def op9_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents
-    from paylake.llm.licenses import scan
-    return scan(documents(spark, sf_dir))
+    from paylake.llm.licenses import SHORT_TEMPLATES, TEMPLATES, scan
+    return scan(documents(spark, sf_dir), (*TEMPLATES, *SHORT_TEMPLATES))
 
 
-# op9's SQL knows whole shingles only, so notices of less than five words are a query of their own
+# the notices of less than five words alone
 @query("op9_license_short")
 def op9_license_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paylake.llm.common import documents

@@ -89,14 +89,16 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
 FROM ({mix_rows()})"""
 
 
-def _license_values() -> str:
-    from paylake.llm.licenses import templates
+def _license_values(short: bool) -> str:
+    from paylake.llm.licenses import SHORT_TEMPLATES, TEMPLATES, templates
     quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
-    return ", ".join(f"('{t.name}', {t.window}, {quoted(t.words)})" for t in templates())
+    return ", ".join(f"('{t.name}', {t.window}, {quoted(t.words)})" for t in templates((*TEMPLATES, *SHORT_TEMPLATES)) if t.short == short)
 
 
-# every window and template with a shingle in common, so it also tells what the bands must retrieve
-LICENSES = rf"""WITH t(license, w, ws) AS (VALUES {_license_values()}),
+# every window and template with a shingle in common, so it also tells what the bands must retrieve;
+# templates below a shingle's length as runs of their words
+LICENSES = rf"""WITH t(license, w, ws) AS (VALUES {_license_values(False)}),
+brief(license, n, ws) AS (VALUES {_license_values(True)}),
 ts AS (SELECT DISTINCT license, w, s FROM (
   SELECT license, w, unnest([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]) AS s FROM t)),
 sizes AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
@@ -111,7 +113,10 @@ hits AS (
   FROM s JOIN ts USING (s)),
 found AS (
   SELECT rid, doc_id, license, start, count(DISTINCT s)::DOUBLE / any_value(n) AS c
-  FROM hits JOIN sizes USING (license) GROUP BY rid, doc_id, license, start HAVING c >= 0.8)
+  FROM hits JOIN sizes USING (license) GROUP BY rid, doc_id, license, start HAVING c >= 0.8
+  UNION ALL SELECT rid, doc_id, license, p - 1, 1.0
+  FROM (SELECT d.rid, d.doc_id, license, n, b.ws AS want, d.ws AS ws, unnest(range(1, len(d.ws) - n + 2)) AS p
+        FROM d, brief b WHERE list_has_all(d.ws, b.ws)) WHERE ws[p:p + n - 1] = want)
 SELECT doc_id, license, max(c) AS containment, arg_max(start, (c, -start))::INTEGER AS start_word, count(*)::BIGINT AS n_windows
 FROM found GROUP BY rid, doc_id, license"""
 
