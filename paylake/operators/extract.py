@@ -1,10 +1,16 @@
 """Full extracts by even key ranges, and typed reading of text columns with a quarantine."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylake.operators.ingest import union
+
 BAD_CAST = "bad_cast"
 
 
@@ -42,7 +48,9 @@ def by_ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
     return df.withColumn("key_range", range_of(F.col(key), split_points(df, key, ranges)))
 
 
-def cast_split(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def cast_split(df: DataFrame, schema: T.StructType,
+               read_as: Callable[[Column, T.DataType, T.DataType], Column] = lambda c, _, want: c.try_cast(want),
+               ) -> tuple[DataFrame, DataFrame]:
     """Rows of text columns as typed rows of ``schema``, and those that cannot be.
 
     Every column of ``schema`` is read with ``try_cast``, so a bad value never fails the query.
@@ -50,10 +58,51 @@ def cast_split(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFram
     columns as JSON (``value``), and the reason ``bad_cast:<fields>``. Columns that ``df`` lacks
     are null. One pass each; the sides are taken by an explode, so the casts run once per row."""
     have = set(df.columns)
-    cast = {f.name: F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType) for f in schema.fields}
+    cast = {f.name: read_as(F.col(f.name), df.schema[f.name].dataType, f.dataType) if f.name in have else F.lit(None).cast(f.dataType) for f in schema.fields}
     bad = F.array_compact(F.array(*[F.when(F.col(n).isNotNull() & c.isNull(), F.lit(n)) for n, c in cast.items() if n in have]))
     read = df.select(F.struct(*[c.alias(n) for n, c in cast.items()]).alias("typed"), bad.alias("bad"),
                      F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
     good = read.select(F.explode(F.when(F.size("bad") == 0, F.array("typed"))).alias("r")).select("r.*")
     rest = read.select(F.explode(F.when(F.size("bad") > 0, F.array(F.struct("value", "bad")))).alias("r"))
     return good, rest.select("r.value", F.concat_ws(":", F.lit(BAD_CAST), F.array_join("r.bad", ",")).alias("error_msg"))
+
+
+def _lossless(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``c`` as ``want`` if that changes nothing (3.0 is the whole number 3, 2.5 is none), else null."""
+    cast = c.try_cast(want)
+    if have == want or isinstance(have, T.StringType):
+        return cast     # a text has many forms of one value
+    return F.when(cast.try_cast(have) == c, cast)
+
+
+def schema_groups(spark: SparkSession, folders: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Folders of raw files, those of one physical schema together. A folder whose files differ
+    among themselves is taken file by file. Only footers are read."""
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+
+    def place(path: str) -> None:
+        found = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path).schema
+        groups.setdefault(found.json(), (found, []))[1].append(path)
+
+    for folder in folders:
+        try:
+            place(folder)
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE_SCHEMAS" not in str(e):
+                raise
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            for r in files.load(folder).select("path").collect():
+                place(r.path)
+    return list(groups.values())
+
+
+def read_reconciled(spark: SparkSession, folders: Sequence[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Raw files whose column types differ, as rows of ``schema`` (P9): a writer that infers types
+    makes a whole-number column a floating one where it has nulls, or a time a text. Each group
+    of files of one physical schema is read as it is and cast; a missing column is null. Rows with
+    a value that the schema's type cannot hold unchanged go to the quarantine, as in :func:`cast_split`."""
+    sides = []
+    for found, paths in schema_groups(spark, folders):
+        df = spark.read.schema(found).option("recursiveFileLookup", "true").parquet(*paths)
+        sides.append(cast_split(df, schema, _lossless))
+    return union([good for good, _ in sides]), union([bad for _, bad in sides])

@@ -30,8 +30,8 @@ def trailing_window(df: DataFrame, key: str, ts: str, width_s: int, distinct: st
     """Add ``n_in_window``, the rows of ``key`` in ``[ts - width, ts]`` (rows of one time
     count each other), and with ``distinct`` ``n_distinct``, the different values of that column.
 
-    A row counts from its time until ``width`` has passed. For the distinct count it
-    ends sooner if the same value comes again, so that each value counts once.
+    A row counts from its time until ``width`` has passed. For the distinct count a value counts
+    from the first of its rows that lie within ``width`` of each other until the last has left.
     """
     bucket_us, width_us = max(bucket_s or 3600, width_s) * US, width_s * US
     base = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
@@ -43,21 +43,23 @@ def trailing_window(df: DataFrame, key: str, ts: str, width_s: int, distinct: st
     rows = rows.repartition(key, "_b")
     # arrivals of a time come at 2 t, what has left by then before the next arrivals at 2 t + 1
     arrive, leave = F.col("_us") * 2, (F.col("_us") + width_us) * 2 + 1
-    steps = [F.struct(arrive.alias("at"), F.lit(1).alias("n"), F.lit(0).alias("d"), F.lit(True).alias("real")),
-             F.struct(leave.alias("at"), F.lit(-1).alias("n"), F.lit(0).alias("d"), F.lit(False).alias("real"))]
+    # a value comes with its first row in a window's reach and goes with its last: rows in between,
+    # which have the same value within the width on that side, change nothing
+    come = go = F.lit(0)
     if distinct:
-        again = F.lead("_us").over(Window.partitionBy(key, "_b", distinct).orderBy("_us"))
-        rows = rows.withColumn("_again", again)
-        d = F.col(distinct).isNotNull().cast("int")
-        until = F.least(leave, F.coalesce(F.col("_again") * 2, leave))
-        steps[0] = F.struct(arrive.alias("at"), F.lit(1).alias("n"), d.alias("d"), F.lit(True).alias("real"))
-        steps.append(F.struct(until.alias("at"), F.lit(0).alias("n"), (-d).alias("d"), F.lit(False).alias("real")))
+        near = Window.partitionBy(key, "_b", distinct).orderBy("_us")
+        rows = rows.withColumn("_prev", F.lag("_us").over(near)).withColumn("_next", F.lead("_us").over(near))
+        there = F.col(distinct).isNotNull()
+        come = F.when(there & ~F.coalesce(F.col("_us") - F.col("_prev") <= width_us, F.lit(False)), 1).otherwise(0)
+        go = F.when(there & ~F.coalesce(F.col("_next") - F.col("_us") <= width_us, F.lit(False)), -1).otherwise(0)
+    steps = [F.struct(arrive.alias("at"), F.lit(1).alias("n"), come.alias("d"), F.lit(True).alias("real")),
+             F.struct(leave.alias("at"), F.lit(-1).alias("n"), go.alias("d"), F.lit(False).alias("real"))]
     w = Window.partitionBy(key, "_b").orderBy("_s.at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     out = rows.withColumn("_s", F.explode(F.array(*steps)))
     out = out.withColumn("n_in_window", F.sum("_s.n").over(w))
     if distinct:
         out = out.withColumn("n_distinct", F.sum("_s.d").over(w).cast("int"))
-    return out.filter(F.col("_s.real") & ~F.col("_ctx")).drop("_us", "_b", "_ctx", "_s", "_again")
+    return out.filter(F.col("_s.real") & ~F.col("_ctx")).drop("_us", "_b", "_ctx", "_s", "_prev", "_next")
 
 
 def velocity_burst(live: DataFrame, min_count: int = 5, width_s: int = 600) -> DataFrame:

@@ -66,6 +66,23 @@ def cast_staging(spark, sf):
     return stg.select("transaction_id", F.col("initiated_at_timestamp").isNotNull().alias("staged"))
 
 
+@query("reconciled_types", with_ctes(["raw_transactions"], """
+SELECT txn_id, client_id, merchant_id, status_id, amount, initiated_at FROM raw_transactions"""))
+def reconciled_types(spark, sf):
+    """Raw files of two shapes, as a writer that infers types makes them: ids as whole numbers
+    where none is null, as floating numbers elsewhere, times as text; read as one table."""
+    t = warehouse(spark, sf).raw.transactions.select("txn_id", "client_id", "merchant_id", "status_id", "amount", "initiated_at")
+    base = _scratch(spark, "shapes")
+    time = F.date_format("initiated_at", "yyyy-MM-dd'T'HH:mm:ss").alias("initiated_at")
+    whole = F.col("txn_id").isNotNull() & F.col("client_id").isNotNull() & F.col("merchant_id").isNotNull()
+    ids = ("txn_id", "client_id", "merchant_id")
+    t.filter(whole).select(*ids, "status_id", F.col("amount").cast("double"), time).write.parquet(base + "/day=01")
+    t.filter(~whole).select(*[F.col(c).cast("double").alias(c) for c in ids], F.col("status_id").cast("bigint"),
+                            F.col("amount").cast("double"), time).write.parquet(base + "/day=02")
+    good, _ = extract.read_reconciled(spark, [base + "/day=01", base + "/day=02"], t.schema)
+    return good
+
+
 @query("landed_clients", with_ctes(["raw_clients"], """
 SELECT *, DATE '1950-01-01' + CAST(client_id % 20000 AS INTEGER) AS date_of_birth, client_id || ' Main Street' AS address,
   lpad(CAST(client_id % 100000 AS VARCHAR), 5, '0') AS zip_code, client_id % 7 AS points FROM raw_clients"""))

@@ -511,6 +511,13 @@ def fill_defaults(spark, sf):
     return quality.fill_defaults(t, S.COLUMN_DEFAULTS["transactions"])
 
 
+@query("fill_defaults_clients", with_ctes(["raw_clients"], """
+SELECT client_id, registered_at, COALESCE(risk_score, 10) AS risk_score, COALESCE(is_active, 1) AS is_active FROM raw_clients"""))
+def fill_defaults_clients(spark, sf):
+    c = _w(spark, sf).raw.clients.select("client_id", "registered_at", "risk_score", "is_active")
+    return quality.fill_defaults(c, S.COLUMN_DEFAULTS["clients"])
+
+
 _ROW_RULES = [
     ("auth_code_iff_approved", "auth_code", "(auth_code IS NOT NULL) <> (status_id = 1)"),
     ("reason_iff_declined_or_failed", "failure_reason", "(failure_reason IS NOT NULL) <> (status_id IN (2, 5))"),

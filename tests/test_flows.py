@@ -83,6 +83,20 @@ def test_cast_split(spark):
     assert set(got) == {"bad_cast:amount,initiated_at", "bad_cast:settled_at"} and '"note":"y"' in got["bad_cast:amount,initiated_at"]
 
 
+def test_files_of_different_types_are_one_table(spark):
+    base = _base(spark)
+    schema = S._s(("id", S.RAW_SCHEMAS["transactions"]["txn_id"].dataType), ("at", S.TS), ("note", S.RAW_SCHEMAS["clients"]["city"].dataType))
+    frames = [spark.createDataFrame([(1, "2026-01-01T10:00:00")], "id long, at string"), spark.createDataFrame([(2.0, None), (None, None)], "id double, at string"),
+              spark.createDataFrame([(2.5, "2026-01-01T10:00:00", "x")], "id double, at string, note string")]
+    for i, df in enumerate(frames):
+        df.coalesce(1).write.mode("append").parquet(f"{base}/day={min(i, 1)}")     # the second folder holds two shapes
+    frames[0].coalesce(1).write.mode("append").parquet(f"{base}/day=1")            # and a third that cannot be merged
+    good, bad = extract.read_reconciled(spark, [base + "/day=0", base + "/day=1"], schema)
+    assert good.schema == schema and sorted((r.id or 0, r.at is None, r.note) for r in good.collect()) == [
+        (0, True, None), (1, False, None), (1, False, None), (2, True, None)]
+    assert [r.error_msg for r in bad.collect()] == ["bad_cast:id"]
+
+
 # settlements
 
 def test_late_transactions_change_their_days_only(spark):
