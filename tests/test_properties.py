@@ -199,3 +199,39 @@ def test_report_with_relationships(spark):
     w = warehouse(spark, SF_SMALL)
     r = quality.dq_report(w, relationships=True).filter(F.col("check_name") == "relationships")
     assert r.count() == len(S.FOREIGN_KEYS)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_orders_are_never_broadcast(spark):
+    # one narrow column of the orders looks small to the planner and is built whole in the driver
+    for key in ("net_amount", "fill_defaults"):
+        _, plan = _plan(QUERIES[key](spark, SF_SMALL))
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, key
+
+
+def test_latest_columns_equal_whole_rows(spark):
+    from paylake.functions import latest_columns, latest_per_key
+    rows = [(1, 10, "a", 5, "x"), (1, 9, "z", 9, "y"),                            # one latest row
+            (2, None, "a", 1, "x"), (2, 7, "b", 2, "x"),                          # null first
+            (3, 4, "a", 1, "q"), (3, 4, "b", 2, "p"), (3, 4, "b", 2, None),       # ties that differ: later columns decide
+            (4, 4, "a", 1, "x"), (4, 4, "b", 1, "x"),                             # ties alike in what is asked
+            (5, 4, "a", None, "x"), (5, 4, "a", 3, "x"), (5, 4, "a", 3, "x"),     # null against a value, a copy
+            (None, 1, "a", 1, "x"), (None, 1, "c", 2, "x")]
+    df = spark.createDataFrame(rows, "k int, t int, a string, n int, s string").repartition(5)
+    order = [F.col("t").desc_nulls_first()]
+    whole = latest_per_key(df, ["k"], order)
+    for cols in (["n"], ["s", "n"], ["t", "a"], []):
+        got = latest_columns(df, ["k"], order, cols)
+        key = lambda r: [str(x) for x in r]
+        assert got.columns == ["k", *cols]
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, whole.select("k", *cols).collect()), key=key)
+
+
+def test_few_columns_of_current_transactions_do_not_shuffle_whole_rows(spark):
+    _, plan = _plan(QUERIES["status_lookup"](spark, SF_SMALL))
+    first = plan[:plan.index("failure_reason")]
+    assert "rank(" in first and "LeftAnti" in first     # rows without doubtful ties go without the other columns
+    assert plan.count("LeftSemi") == 1                  # whole rows of the doubtful keys alone
