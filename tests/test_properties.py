@@ -235,3 +235,47 @@ def test_few_columns_of_current_transactions_do_not_shuffle_whole_rows(spark):
     first = plan[:plan.index("failure_reason")]
     assert "rank(" in first and "LeftAnti" in first     # rows without doubtful ties go without the other columns
     assert plan.count("LeftSemi") == 1                  # whole rows of the doubtful keys alone
+
+
+def test_whole_rows_of_doubtful_keys_are_taken_before_the_join(spark):
+    for key in ("status_lookup", "flagged_transactions", "approved_sales"):
+        plan, _ = _plan(QUERIES[key](spark, SF_SMALL))
+        before = plan[plan.index("failure_reason"):plan.index("Join LeftSemi")]
+        assert "Join Inner" in before, key      # the semi join is below the join of items and orders
+
+
+def test_few_doubtful_keys_send_few_whole_rows(spark):
+    from paylake.functions import latest_columns, latest_per_key
+    n, doubtful = 30_000, F.col("id") % 15 == 0
+    df = (spark.range(n).withColumn("v", F.explode(F.when(doubtful, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+          .select(F.col("id").alias("k"), F.lit(0).alias("t"), "v"))
+    seen = []
+
+    def among(only):
+        seen.append(only(df, F.col("k")))
+        return seen[0]
+
+    got = latest_columns(df, ["k"], [F.col("t").desc_nulls_first()], ["v"], among)
+    want = latest_per_key(df, ["k"], [F.col("t").desc_nulls_first()]).select("k", "v")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    whole = seen[0].count()
+    assert 4_000 <= whole < 4_200      # two rows of each of 2,000 keys, hardly any other
+
+
+def test_shuffle_partitions_of_narrow_rows_stay_small(spark):
+    from paylake.session import configure
+    # rows of a few numbers are compressed to a tenth of what sorts and hash maps of a task hold
+    assert int(configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").rstrip("b")) <= 32 << 20
+
+
+def test_settlement_runs_do_not_shuffle_whole_rows(spark):
+    from paylake.operators import incremental, recon
+    raw = warehouse(spark, SF_SMALL).raw.transactions.localCheckpoint()
+    raw = raw.union(raw.withColumn("amount", F.col("amount") + 1).filter("txn_id % 3 = 0"))    # ties that differ
+    near = raw.filter("txn_id % 2 = 0").select("txn_id").distinct()
+    got = incremental._current_near(raw, near)
+    want = recon.current_transactions(raw.join(near, "txn_id", "left_semi")).select(got.columns)
+    got = got.filter("txn_id % 2 = 0")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan, _ = _plan(got)
+    assert "LeftAnti" in plan and "failure_reason" not in plan[:plan.index("LeftAnti")]
