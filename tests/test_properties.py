@@ -47,6 +47,18 @@ def test_declared_gate_passes_and_detects(spark):
         raise AssertionError("source checks should fail on the dirty raw table")
 
 
+def test_building_messages_runs_no_job(spark):
+    from paylake.plans.queries_ops import _corrupted
+    w, group = warehouse(spark, SF_SMALL), "build-messages"
+    _ = w.raw.transactions    # the files' footers are read here
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        _corrupted(w)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
 def test_fixture_messages(spark):
     schema = S.RAW_SCHEMAS["transactions"]
     msgs = spark.createDataFrame([
