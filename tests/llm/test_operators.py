@@ -2,6 +2,7 @@
 import os
 import random
 import sys
+import zlib
 from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -312,6 +313,21 @@ def test_tree_is_context_tree_weighting(spark):
         assert np.allclose((10.0 ** model.score.astype(float)).sum(1), 1, atol=1e-5)
 
 
+def test_light_contexts_have_their_nodes(spark, monkeypatch):
+    """Scores are those of the whole tree at any share, in one block of branches or many."""
+    monkeypatch.setattr(context_tree, "SCORED_CHARS", 20)
+    texts = ["abracadabra", "Abba", None, "banana band", "cab", "zé cabana", "", "abracadabra", "band of cabs", "bandana"] * 2
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = [t or "" for t, h in zip(texts, held) if not h]
+    assert any(held)
+    for depth, share, block in ((3, 6, 10), (2, 1, 1000), (6, 12, 25)):
+        monkeypatch.setattr(context_tree, "BLOCK_GRAMS", block)
+        got = sorted((r.doc_id, r.score) for r in context_tree.score(df, depth=depth, share=share).collect())
+        want = brute.tree_score(train, [t or "" for t in texts[:10]], depth, 10**9)
+        assert np.allclose([s for _, s in got], want * 2, rtol=1e-5)
+
+
 def test_base_scores(docs, none, whole):
     for df, heavy in ((docs, 10), (whole, 1000)):
         got = sorted((r.doc_id is None, r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
