@@ -70,6 +70,43 @@ def test_a_replay_on_another_day_writes_the_same_folders(spark):
     assert len(before) >= 1
 
 
+def _no_cache(spark, monkeypatch):
+    """Names of the cache calls made from now on."""
+    calls = []
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(spark.range(0)), name, lambda self, *a, n=name: calls.append(n) or self)
+    return calls
+
+
+def test_landing_holds_no_batch_on_executors(spark, monkeypatch):
+    base, calls = _base(spark), _no_cache(spark, monkeypatch)
+    schemas = {"transactions": _struct(spark), "fraud_alerts": _struct(spark, "alert_id bigint, txn_id bigint, rule string")}
+    rows = spark.range(40_000).selectExpr("id AS txn_id", "IF(id % 7 = 0, NULL, md5(CAST(id AS STRING))) AS note").coalesce(1)
+    landing.publish(ingest.envelope(rows, "transactions", "c", 0, "txn_id"), base + "/in")
+    _send(spark, base, [(7, 3, "r"), (8, None, None)], "fraud_alerts", "alert_id bigint, txn_id bigint, rule string", "alert_id")
+    landing.publish(spark.createDataFrame([("pg.transactions", "1", "["), ("pg.transactions", "2", '{"txn_id": "x"}'), ("pg.nosuch", "3", "{}")],
+                                          landing.MESSAGE_SCHEMA), base + "/in")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        q = landing.start_landing(spark, base + "/in", base + "/raw", base + "/dlq", base + "/ckpt", schemas)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(merge, was)
+    assert calls == []
+    landed = spark.read.parquet(base + "/raw/table_name=transactions")
+    assert sorted(map(tuple, landed.select("txn_id", "note").collect())) == sorted(map(tuple, rows.collect()))
+    assert len(landed.inputFiles()) > 1     # the rows of one task and day are dealt, not sent in one block
+    assert sorted(r.alert_id for r in spark.read.parquet(base + "/raw/table_name=fraud_alerts").collect()) == [7, 8]
+    assert sorted((r.message_key, r.value, r.error_msg, r.original_topic) for r in landing.read_dead_letters(spark, base + "/dlq").collect()) == [
+        ("1", "[", "malformed_json", "pg.transactions"), ("2", '{"txn_id": "x"}', "type_mismatch:txn_id", "pg.transactions"),
+        ("3", "{}", "unknown_table", "pg.nosuch")]
+    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p["numInputRows"]]
+    assert [(r["messages"], r["transactions"], r["fraud_alerts"]) for r in seen] == [(40_005, 40_002, 2)]    # the source is read once
+    assert os.listdir(f"{base}/raw/_staged".replace("file://", "").replace("file:", "")) == []
+
+
 # dedup
 
 def test_two_tables_in_one_root_stay_apart(spark):
