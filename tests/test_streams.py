@@ -159,6 +159,17 @@ def test_dedup_replay_and_text_keys(spark):
     assert sorted(r.txn_id for r in spark.read.parquet(base + "/out").collect()) == ["a", "b"]
 
 
+def test_dedup_holds_no_batch_on_executors(spark, monkeypatch):
+    base, schema, calls = _base(spark), _struct(spark), _no_cache(spark, monkeypatch)
+    for n, rows in enumerate([[(1, "a"), (1, "b"), (2, "c"), (None, "d")], [(2, "e"), (3, "f"), (3, "g"), (None, "h")]]):
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{base}/raw/table_name=t/batch={n}")
+        _dedup(spark, base, schema).awaitTermination()
+    assert calls == []
+    got = {r.txn_id: r.note for r in spark.read.parquet(base + "/out").collect()}
+    assert sorted(got) == [1, 2, 3] and got[1] in "ab" and got[2] == "c" and got[3] in "fg"
+    assert spark.read.parquet(base + "/out").count() == spark.read.parquet(base + "/out_keys").count() == 3
+
+
 # detectors
 
 def _live(spark, rows):
