@@ -107,6 +107,21 @@ def test_landing_holds_no_batch_on_executors(spark, monkeypatch):
     assert os.listdir(f"{base}/raw/_staged".replace("file://", "").replace("file:", "")) == []
 
 
+def test_a_landing_that_dies_leaves_staged_rows_to_its_replay(spark, monkeypatch):
+    base = _base(spark)
+    _send(spark, base, [(1, "a"), (2, "b")])
+    landing.publish(spark.createDataFrame([("pg.transactions", "3", "[")], landing.MESSAGE_SCHEMA), base + "/in")
+    staged = f"{base}/raw/_staged".replace("file://", "").replace("file:", "")
+    with monkeypatch.context() as m:
+        m.setattr(landing.commits, "remove", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            _land(spark, base)
+    assert len(os.listdir(staged)) == 1
+    _land(spark, base)
+    assert sorted(r.txn_id for r in spark.read.parquet(base + "/raw").collect()) == [1, 2] and os.listdir(staged) == []
+    assert [r.message_key for r in landing.read_dead_letters(spark, base + "/dlq").collect()] == ["3"]
+
+
 # dedup
 
 def test_two_tables_in_one_root_stay_apart(spark):
